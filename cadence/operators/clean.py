@@ -107,12 +107,12 @@ def dedupe_tracks(df: DataFrame, order: list[str] | None = None) -> DataFrame:
 # Audio features
 # ---------------------------------------------------------------------------
 
-def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
+def median_frame(df: DataFrame, cols: list[str]) -> DataFrame:
     """Exact median (mean of the two middle values) of each column, NULLs
-    ignored, by one distributed sort of (column, value) pairs: no column's
-    values are ever gathered into one task. Returns the one-row statistic."""
-    if not cols:
-        return {}
+    ignored, as (feature, median). One distributed sort of (column, value)
+    pairs finds the middle positions: no column's values are ever gathered
+    into one task, and a row hash breaks ties so a repeated value still
+    spreads over the range partitions."""
     tie = F.xxhash64(*[F.col(c) for c in df.columns])
     stacked = df.select(tie.alias("_t"), F.explode(F.array(*[
         F.struct(F.lit(i).alias("_f"), F.col(c).cast("double").alias("_v"))
@@ -129,9 +129,17 @@ def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
         (F.col("_off") + F.floor(F.col("_n") / 2)).alias("_hi"))
     mids = ranked.join(F.broadcast(bounds), "_f").where(
         (F.col("_g") == F.col("_lo")) | (F.col("_g") == F.col("_hi")))
-    rows = mids.groupBy("_f").agg(((F.min("_v") + F.max("_v")) / 2.0).alias("m")).collect()
-    found = {r["_f"]: r["m"] for r in rows}
-    return {c: found.get(i) for i, c in enumerate(cols)}
+    names = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(i), F.lit(c))])
+    return mids.groupBy("_f").agg(((F.min("_v") + F.max("_v")) / 2.0).alias("median")).select(
+        F.element_at(names, F.col("_f")).alias("feature"), "median")
+
+
+def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
+    """The same medians as a one-row statistic for the driver."""
+    if not cols:
+        return {}
+    found = {r["feature"]: r["median"] for r in median_frame(df, cols).collect()}
+    return {c: found.get(c) for c in cols}
 
 
 def _nan_to_null(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -26,39 +26,95 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadence.functions.vectors import cosine, norm
+from cadence.functions.vectors import dot
 from cadence.session import cut_lineage
 
 
+WIDE = 16  # above this many components vectors stay ARRAY<DOUBLE>
+
+
 def vector_columns(dim: int, prefix: str = "v") -> list[str]:
-    return [f"{prefix}{i}" for i in range(dim)]
+    return [f"{prefix}{i}" for i in range(dim)] if dim <= WIDE else [prefix]
 
 
 def as_vector_frame(df: DataFrame, key: str, vec: list[Column] | list[str],
                     extra: list[str] | None = None) -> DataFrame:
-    """Project ``df`` to (key, extra..., v0..v{d-1}) with DOUBLE components."""
+    """Project ``df`` to (key, extra..., vector) with DOUBLE components: plain
+    columns v0..v{d-1} for narrow vectors, one ARRAY column ``v`` for wide."""
     cols = [F.col(c) if isinstance(c, str) else c for c in vec]
+    head = [F.col(key), *[F.col(e) for e in (extra or [])]]
+    if len(cols) <= WIDE:
+        return df.select(*head, *[c.cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
+    return df.select(*head, F.array(*[c.cast("double") for c in cols]).alias("v"))
+
+
+def as_array_frame(df: DataFrame, key: str, array_col: str,
+                   extra: list[str] | None = None) -> DataFrame:
+    """Project an ARRAY column of a wide vector to (key, extra..., v)."""
     return df.select(F.col(key), *[F.col(e) for e in (extra or [])],
-                     *[c.cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
+                     F.transform(F.col(array_col), lambda x: x.cast("double")).alias("v"))
+
+
+class _Vec:
+    """Arithmetic over one vector held either as columns or as an array."""
+
+    def __init__(self, prefix: str, dim: int):
+        self.prefix, self.dim, self.wide = prefix, dim, dim > WIDE
+
+    def cols(self) -> list[str]:
+        return vector_columns(self.dim, self.prefix)
+
+    def item(self, i: int) -> Column:
+        return F.col(self.prefix)[i] if self.wide else F.col(f"{self.prefix}{i}")
+
+    def dot(self, other: "_Vec") -> Column:
+        if self.wide:
+            return F.aggregate(F.zip_with(F.col(self.prefix), F.col(other.prefix),
+                                          lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+        return dot([self.item(i) for i in range(self.dim)], [other.item(i) for i in range(self.dim)])
+
+    def norm(self) -> Column:
+        return F.sqrt(self.dot(self))
+
+    def cosine(self, other: "_Vec", eps: float) -> Column:
+        den = self.norm() * other.norm()
+        if eps:
+            return self.dot(other) / (den + F.lit(float(eps)))
+        return F.when(den == 0, F.lit(0.0)).otherwise(self.dot(other) / den)
+
+    def rename(self, df_cols: list[str], new_prefix: str) -> list[Column]:
+        return [F.col(c).alias(new_prefix + c[len(self.prefix):]) for c in self.cols()]
 
 
 def _unit(df: DataFrame, dim: int) -> DataFrame:
-    v = [F.col(c) for c in vector_columns(dim)]
-    df = df.withColumn("_norm", norm(v))
+    """Add ``_norm`` and the unit vector's grid coordinates source ``u``."""
+    v = _Vec("v", dim)
+    df = df.withColumn("_norm", v.norm())
+    if v.wide:
+        return df.withColumn("u", F.transform(F.col("v"), lambda x: F.when(
+            F.col("_norm") > 0, x / F.col("_norm")).otherwise(F.lit(0.0))))
     return df.withColumns({f"u{i}": F.when(F.col("_norm") > 0, F.col(f"v{i}") / F.col("_norm"))
                            .otherwise(F.lit(0.0)) for i in range(dim)})
 
 
-def _grid_dims(items_u: DataFrame, dim: int, g: int) -> tuple[list[int], float]:
-    """The ``g`` unit coordinates with the largest spread, and the total
-    spread (one-row statistic)."""
-    row = items_u.where(F.col("_norm") > 0).agg(
-        *[F.var_pop(f"u{i}").alias(f"s{i}") for i in range(dim)],
-        F.count(F.lit(1)).alias("n")).first()
-    spread = [(row[f"s{i}"] or 0.0, i) for i in range(dim)]
+def _grid_dims(items_u: DataFrame, dim: int, g: int) -> tuple[list[int], float, int]:
+    """The ``g`` unit coordinates with the largest spread, the total spread
+    and the item count: a small aggregate per coordinate (dim rows)."""
+    u = _Vec("u", dim)
+    live = items_u.where(F.col("_norm") > 0)
+    if u.wide:
+        per = live.select(F.posexplode("u").alias("i", "x")).groupBy("i").agg(
+            F.var_pop("x").alias("s")).collect()
+        spread = [(r["s"] or 0.0, int(r["i"])) for r in per]
+        n = live.count()
+    else:
+        row = live.agg(*[F.var_pop(f"u{i}").alias(f"s{i}") for i in range(dim)],
+                       F.count(F.lit(1)).alias("n")).first()
+        spread = [(row[f"s{i}"] or 0.0, i) for i in range(dim)]
+        n = int(row["n"] or 0)
     dims = [i for _, i in sorted(spread, key=lambda t: (-t[0], t[1]))[:g]]
     total = math.sqrt(sum(s for s, _ in spread))
-    return dims, total, int(row["n"] or 0)
+    return dims, total, n
 
 
 def cosine_topk(queries: DataFrame, items: DataFrame, k: int, dim: int, *,
@@ -79,13 +135,12 @@ def cosine_topk(queries: DataFrame, items: DataFrame, k: int, dim: int, *,
     if self_key == query_key:
         queries = queries.withColumn("_self", F.col(query_key))
         self_key = "_self"
-    q = _unit(queries.select(query_key, *([self_key] if self_key else []),
-                             *vector_columns(dim)), dim)
-    it = _unit(items.select(F.col(item_key).alias("_item"), *vector_columns(dim)), dim)
-    it = it.select("_item", "_norm", *[F.col(f"v{i}").alias(f"w{i}") for i in range(dim)],
-                   *[F.col(f"u{i}").alias(f"x{i}") for i in range(dim)])
-    dims, spread, n_items = _grid_dims(it.select("_norm", *[F.col(f"x{i}").alias(f"u{i}")
-                                                            for i in range(dim)]), dim, g)
+    qv, iv, qu, iu = _Vec("v", dim), _Vec("w", dim), _Vec("u", dim), _Vec("x", dim)
+    q = _unit(queries.select(query_key, *([self_key] if self_key else []), *qv.cols()), dim)
+    it = _unit(items.select(F.col(item_key).alias("_item"), *qv.cols()), dim)
+    it = it.select("_item", "_norm", *qv.rename(it.columns, "w"), *qu.rename(it.columns, "x"))
+    dims, spread, n_items = _grid_dims(
+        it.select("_norm", *iu.rename(it.columns, "u")), dim, g)
     if start_radius is None:
         d_eff = max(1, min(dim - 1, 8))
         frac = min(1.0, (2.0 * k) / max(1, n_items))
@@ -97,7 +152,7 @@ def cosine_topk(queries: DataFrame, items: DataFrame, k: int, dim: int, *,
         r *= 2.0
     radii.append(2.0)
 
-    sim = cosine([F.col(f"v{i}") for i in range(dim)], [F.col(f"w{i}") for i in range(dim)], eps)
+    sim = qv.cosine(iv, eps)
     order = Window.partitionBy(query_key).orderBy(F.col("similarity").desc(), F.col("_item").asc())
     offsets = list(itertools.product((-1, 0, 1), repeat=g))
 
@@ -106,16 +161,14 @@ def cosine_topk(queries: DataFrame, items: DataFrame, k: int, dim: int, *,
     for rnd, r in enumerate(radii):
         final = rnd == len(radii) - 1
         w = r * (1.0 + 1e-9)
-        cell_i = [F.floor(F.col(f"x{d}") / F.lit(w)).cast("bigint") for d in dims]
-        cell_q = [F.floor(F.col(f"u{d}") / F.lit(w)).cast("bigint") for d in dims]
+        cell_i = [F.floor(iu.item(d) / F.lit(w)).cast("bigint") for d in dims]
+        cell_q = [F.floor(qu.item(d) / F.lit(w)).cast("bigint") for d in dims]
         qs, its = pending, it
         if not final:
             qs = qs.where(F.col("_norm") > 0)
             its = its.where(F.col("_norm") > 0)
-        its = its.select("_item", *[F.col(f"w{i}") for i in range(dim)],
-                         *[c.alias(f"c{j}") for j, c in enumerate(cell_i)])
-        qx = qs.select(query_key, *([self_key] if self_key else []),
-                       *[F.col(f"v{i}") for i in range(dim)],
+        its = its.select("_item", *iv.cols(), *[c.alias(f"c{j}") for j, c in enumerate(cell_i)])
+        qx = qs.select(query_key, *([self_key] if self_key else []), *qv.cols(),
                        F.explode(F.array(*[
                            F.struct(*[(cell_q[j] + F.lit(o[j])).alias(f"c{j}") for j in range(g)])
                            for o in offsets])).alias("_cell")).select(

@@ -1,103 +1,6 @@
-"""The query catalogue: every operator of the inventory as a named query over
-the driver tables, each with its oracle SQL where one exists.
+"""The whole query catalogue: importing this module registers every query."""
 
-``QUERIES[name](spark, sf_dir) -> DataFrame``; ``ORACLE[name] -> str``.
-Inputs are whole tables (or views derived from whole tables); no query uses
-an id subset or a row cap, except where the limit is the feature (top-n).
-"""
-
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from cadence.config import DEFAULTS, VIBE_FEATURES
-from cadence.operators import clean, features, knn
-from cadence.plans.sql import with_ctes
-from cadence.sources import fixtures as fx
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-    return deco
-
-
-# ---------------------------------------------------------------------------
-# shared building blocks (Spark side)
-# ---------------------------------------------------------------------------
-
-def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.build_tracks(fx.tracks_raw(spark, sf_dir))
-
-
-def vibe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.vibe_matrix(tracks(spark, sf_dir))
-
-
-def _r9(c: str) -> str:
-    return f"round({c}, 9) AS {c}"
-
-
-TRACK_COLS = ["track_id", "track_name", "artist", "genre", "popularity", "release_date",
-              "danceability", "energy", "loudness", "speechiness", "acousticness",
-              "instrumentalness", "liveness", "valence", "tempo", "duration_ms", "key",
-              "mode", "time_signature", "track_idx", "year"]
-
-# ---------------------------------------------------------------------------
-# cleaning and catalogue
-# ---------------------------------------------------------------------------
-
-query("clean_tracks", with_ctes("SELECT * FROM tracks", "tracks"))(
-    lambda spark, sf: tracks(spark, sf))
-
-
-@query("vibe_matrix", with_ctes(
-    "SELECT track_id, track_idx, " + ", ".join(f"round({c}, 9) AS {c}" for c in VIBE_FEATURES)
-    + " FROM vibe", "vibe"))
-def q_vibe_matrix(spark, sf):
-    v = vibe(spark, sf)
-    return v.select("track_id", "track_idx", *[F.round(c, 9).alias(c) for c in VIBE_FEATURES])
-
-
-# ---------------------------------------------------------------------------
-# similarity
-# ---------------------------------------------------------------------------
-
-def _knn_sql(k: int, eps: float, out_col: str) -> str:
-    from cadence.functions.vectors import cosine_sql
-    a = [f"q.{c}" for c in VIBE_FEATURES]
-    b = [f"i.{c}" for c in VIBE_FEATURES]
-    return with_ctes(f"""
-SELECT seed_idx, CAST(rn AS INTEGER) AS rank, track_idx, track_id, round(sim, 9) AS {out_col}
-FROM (SELECT q.track_idx AS seed_idx, i.track_idx, i.track_id, {cosine_sql(a, b, eps)} AS sim,
-             row_number() OVER (PARTITION BY q.track_idx ORDER BY {cosine_sql(a, b, eps)} DESC,
-                                i.track_idx) AS rn
-      FROM vibe q JOIN vibe i ON q.track_idx <> i.track_idx) p
-WHERE rn <= {k}""", "vibe")
-
-
-def content_knn_all(spark, sf, k=DEFAULTS.knn_n, eps=0.0, out_col="similarity"):
-    v = vibe(spark, sf)
-    vf = knn.as_vector_frame(v, "track_idx", VIBE_FEATURES)
-    q = vf.withColumnRenamed("track_idx", "seed_idx")
-    res = knn.cosine_topk(q, vf, k, len(VIBE_FEATURES), query_key="seed_idx",
-                          item_key="track_idx", self_key="seed_idx", eps=eps)
-    ids = v.select("track_idx", "track_id")
-    return res.join(ids, "track_idx").select(
-        "seed_idx", "rank", "track_idx", "track_id", F.round("similarity", 9).alias(out_col))
-
-
-query("content_knn", _knn_sql(DEFAULTS.knn_n, 0.0, "similarity"))(content_knn_all)
-
-
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return content_knn_all(spark, sf_dir)
+from cadence.plans import catalogue_queries  # noqa: F401
+from cadence.plans import feature_queries  # noqa: F401
+from cadence.plans.registry import ORACLE, QUERIES  # noqa: F401
+from cadence.plans.feature_queries import flagship  # noqa: F401

@@ -90,3 +90,38 @@ cte("vibe", ["tracks"], f"""
 SELECT t.track_id, t.track_idx,
 {_VIBE_COLS}
 FROM tracks t, (SELECT {_VIBE_MINMAX} FROM tracks) s""")
+
+# ---------------------------------------------------------------------------
+# multi-source catalogue
+# ---------------------------------------------------------------------------
+
+_FEATS = ", ".join(AUDIO_FEATURES)
+cte("union_src", ["tracks_raw", "tracks_raw_b"], f"""
+SELECT track_id, track_name, {clean_artist_sql('artist_raw')} AS artist, genre,
+       CAST(NULL AS VARCHAR) AS subgenre, popularity, {_FEATS}, release_date,
+       CAST(NULL AS BIGINT) AS source_row, 1 AS source_priority
+FROM tracks_raw
+UNION ALL
+SELECT id AS track_id, name AS track_name, {clean_artist_sql('artists')} AS artist,
+       CAST(NULL AS VARCHAR) AS genre, playlist_subgenre AS subgenre, popularity, {_FEATS},
+       release_date, source_row, 2 AS source_priority
+FROM tracks_raw_b""")
+
+cte("deduped", ["union_src"], """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (
+      PARTITION BY track_id, CASE WHEN track_id IS NULL THEN track_name END,
+                   CASE WHEN track_id IS NULL THEN artist END
+      ORDER BY source_priority, source_row NULLS FIRST, track_id NULLS FIRST) AS rn
+  FROM union_src) d
+WHERE rn = 1""")
+
+# ---------------------------------------------------------------------------
+# histories and similarity
+# ---------------------------------------------------------------------------
+
+cte("hist", ["interactions_raw", "vibe"], """
+SELECT DISTINCT i.user_id, v.* FROM interactions_raw i JOIN vibe v ON v.track_id = i.track_id""")
+
+cte("profile", ["hist"], "SELECT user_id, count(*) AS n_items, "
+    + ", ".join(f"avg({c}) AS {c}" for c in VIBE_FEATURES) + " FROM hist GROUP BY user_id")
