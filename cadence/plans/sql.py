@@ -125,3 +125,29 @@ SELECT DISTINCT i.user_id, v.* FROM interactions_raw i JOIN vibe v ON v.track_id
 
 cte("profile", ["hist"], "SELECT user_id, count(*) AS n_items, "
     + ", ".join(f"avg({c}) AS {c}" for c in VIBE_FEATURES) + " FROM hist GROUP BY user_id")
+
+# ---------------------------------------------------------------------------
+# harmonic
+# ---------------------------------------------------------------------------
+
+from cadence.functions import harmonic as _hf  # noqa: E402
+
+cte("scored_tracks", ["tracks"], f"""
+SELECT track_idx, track_id, key, mode, tempo, energy, valence,
+       {_hf.camelot_sql('key', 'mode')} AS code
+FROM tracks""")
+
+
+def score_sql(a: str, b: str, tol: float = 5.0) -> str:
+    return _hf.transition_score_sql(
+        {"code": f"{a}.code", "tempo": f"{a}.tempo", "energy": f"{a}.energy", "valence": f"{a}.valence"},
+        {"code": f"{b}.code", "tempo": f"{b}.tempo", "energy": f"{b}.energy", "valence": f"{b}.valence"},
+        tol)
+
+
+cte("graph", ["scored_tracks"], f"""
+SELECT src, dst, score FROM (
+  SELECT a.track_idx AS src, b.track_idx AS dst, {score_sql('a', 'b')} AS score
+  FROM scored_tracks a JOIN scored_tracks b
+    ON a.track_idx <> b.track_idx AND {_hf.bpm_compatible_sql('a.tempo', 'b.tempo', 10.0)}) e
+WHERE score >= 0.5e0""")
