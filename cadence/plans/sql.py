@@ -151,3 +151,81 @@ SELECT src, dst, score FROM (
   FROM scored_tracks a JOIN scored_tracks b
     ON a.track_idx <> b.track_idx AND {_hf.bpm_compatible_sql('a.tempo', 'b.tempo', 10.0)}) e
 WHERE score >= 0.5e0""")
+
+# ---------------------------------------------------------------------------
+# interactions
+# ---------------------------------------------------------------------------
+
+cte("play_counts", ["interactions_raw"], """
+SELECT user_id, track_id, CAST(coalesce(sum(play_count), 0) AS BIGINT) AS play_count
+FROM interactions_raw WHERE user_id IS NOT NULL AND track_id IS NOT NULL
+GROUP BY user_id, track_id""")
+
+
+def active_sql(min_plays: int) -> str:
+    return (f"SELECT user_id, CAST(sum(play_count) AS BIGINT) AS total_plays FROM play_counts "
+            f"GROUP BY user_id HAVING sum(play_count) >= {min_plays}")
+
+
+def matrix_sql(min_plays: int) -> str:
+    return f"""
+SELECT CAST(u.user_idx AS BIGINT) AS user_idx, CAST(i.item_idx AS BIGINT) AS item_idx,
+       c.user_id, c.track_id, CAST(c.play_count AS FLOAT) AS value
+FROM (SELECT * FROM play_counts WHERE user_id IN (SELECT user_id FROM ({active_sql(min_plays)}) a)) c
+JOIN (SELECT user_id, row_number() OVER (ORDER BY user_id) - 1 AS user_idx FROM
+      (SELECT DISTINCT user_id FROM play_counts WHERE user_id IN (SELECT user_id FROM ({active_sql(min_plays)}) a)) x) u
+  ON u.user_id = c.user_id
+JOIN (SELECT track_id, row_number() OVER (ORDER BY track_id) - 1 AS item_idx FROM
+      (SELECT DISTINCT track_id FROM play_counts WHERE user_id IN (SELECT user_id FROM ({active_sql(min_plays)}) a)) y) i
+  ON i.track_id = c.track_id"""
+
+
+# ---------------------------------------------------------------------------
+# evaluation
+# ---------------------------------------------------------------------------
+
+cte("genre_sizes", ["tracks"], """
+SELECT s.track_idx AS seed_idx, s.genre, CAST(g.n - 1 AS BIGINT) AS n_relevant
+FROM tracks s JOIN (SELECT genre, count(*) AS n FROM tracks WHERE genre IS NOT NULL GROUP BY genre) g
+  ON g.genre = s.genre""")
+
+
+def metrics_sql(recs_sql: str, ks=(5, 10, 20)) -> str:
+    """Per-query P/R/NDCG at each k for lists (seed_idx, rank, track_idx)
+    judged by genre equality; every catalogue track is a query."""
+    klist = ", ".join(str(k) for k in ks)
+    return f"""
+SELECT q.track_idx AS seed_idx, CAST(k.k AS INTEGER) AS k,
+       CASE WHEN coalesce(z.n_relevant, 0) > 0 AND coalesce(p.n_recs, 0) > 0
+            THEN coalesce(p.hits, 0) / k.k ELSE 0e0 END AS precision_at_k,
+       CASE WHEN coalesce(z.n_relevant, 0) > 0 AND coalesce(p.n_recs, 0) > 0
+            THEN coalesce(p.hits, 0) / z.n_relevant ELSE 0e0 END AS recall_at_k,
+       CASE WHEN coalesce(z.n_relevant, 0) > 0 AND coalesce(p.n_recs, 0) > 0
+            THEN coalesce(p.dcg, 0e0) / list_sum(list_transform(range(1, least(z.n_relevant, k.k) + 1),
+                                                 lambda i: 1e0 / log2(i + 1)))
+            ELSE 0e0 END AS ndcg_at_k
+FROM tracks q CROSS JOIN (SELECT unnest([{klist}]) AS k) k
+LEFT JOIN (
+  SELECT j.seed_idx, kk.k, sum(j.hit) AS hits,
+         sum(CASE WHEN j.hit = 1 THEN 1e0 / log2(j.rank + 1) ELSE 0e0 END) AS dcg, count(*) AS n_recs
+  FROM (SELECT r.seed_idx, r.rank, CASE WHEN s.genre = t.genre THEN 1 ELSE 0 END AS hit
+        FROM ({recs_sql}) r JOIN tracks s ON s.track_idx = r.seed_idx
+        LEFT JOIN tracks t ON t.track_idx = r.track_idx) j
+  JOIN (SELECT unnest([{klist}]) AS k) kk ON j.rank <= kk.k
+  GROUP BY j.seed_idx, kk.k) p ON p.seed_idx = q.track_idx AND p.k = k.k
+LEFT JOIN genre_sizes z ON z.seed_idx = q.track_idx"""
+
+
+def baseline_sql(n: int, src: str = "tracks") -> str:
+    return f"""
+SELECT seed_idx, CAST(rn AS INTEGER) AS rank, track_idx, track_id, popularity,
+       popularity / 100e0 AS baseline_score
+FROM (SELECT s.track_idx AS seed_idx, t.track_idx, t.track_id, t.popularity,
+             row_number() OVER (PARTITION BY s.track_idx
+                                ORDER BY t.popularity DESC NULLS LAST, t.track_idx) AS rn
+      FROM {src} s
+      LEFT JOIN (SELECT genre, count(*) AS n FROM {src} WHERE genre IS NOT NULL GROUP BY genre) g
+        ON g.genre = s.genre
+      JOIN {src} t ON t.track_idx <> s.track_idx
+       AND (CASE WHEN coalesce(g.n, 0) - 1 >= {n} THEN t.genre = s.genre ELSE true END)) b
+WHERE rn <= {n}"""
