@@ -150,3 +150,8 @@ GROUP BY genre ORDER BY tracks DESC, genre LIMIT 20""", "tracks"))(
     .groupBy("genre").agg(F.count(F.lit(1)).alias("tracks"))
     .orderBy(F.col("tracks").desc(), F.col("genre")).limit(20))
 
+
+# The cleaned catalogue itself (F1, P4, P5, F2, P3, W1, P6) -------------------------
+
+query("clean_tracks", with_ctes("SELECT * FROM tracks", "tracks"))(
+    lambda spark, sf: tracks(spark, sf))

@@ -229,3 +229,55 @@ FROM (SELECT s.track_idx AS seed_idx, t.track_idx, t.track_id, t.popularity,
       JOIN {src} t ON t.track_idx <> s.track_idx
        AND (CASE WHEN coalesce(g.n, 0) - 1 >= {n} THEN t.genre = s.genre ELSE true END)) b
 WHERE rn <= {n}"""
+
+# ---------------------------------------------------------------------------
+# sequences
+# ---------------------------------------------------------------------------
+
+cte("vocab_tracks", ["tracks"], """
+SELECT track_id AS item, CAST(row_number() OVER (ORDER BY track_id) AS BIGINT) AS code FROM tracks""")
+cte("vocab_events", ["event_items"], """
+SELECT item, CAST(row_number() OVER (ORDER BY item) AS BIGINT) AS code
+FROM (SELECT DISTINCT track_id AS item FROM event_items WHERE track_id IS NOT NULL) d""")
+
+
+def encoded_sql(items: str, vocab: str) -> str:
+    return f"""
+SELECT seq_id, pos, code, item FROM (
+  SELECT seq_id, CAST(row_number() OVER (PARTITION BY seq_id ORDER BY p) - 1 AS BIGINT) AS pos,
+         code, item, count(*) OVER (PARTITION BY seq_id) AS n
+  FROM (SELECT s.seq_id, s.pos AS p, v.code, v.item FROM {items} s JOIN {vocab} v ON v.item = s.track_id) x) y
+WHERE n >= 2"""
+
+
+cte("enc_pl", ["playlist_items", "vocab_tracks"], encoded_sql("playlist_items", "vocab_tracks"))
+cte("enc_ev", ["event_items", "vocab_events"], encoded_sql("event_items", "vocab_events"))
+
+
+def model_sql(enc: str, max_len: int = 20, decay: float = 0.8) -> str:
+    return f"""
+SELECT ctx_item, next_item, weight, weight / sum(weight) OVER (PARTITION BY ctx_item) AS prob
+FROM (SELECT c.item AS ctx_item, t.item AS next_item, sum(pow({decay}e0, t.pos - c.pos - 1)) AS weight
+      FROM {enc} c JOIN {enc} t ON t.seq_id = c.seq_id AND t.pos - c.pos BETWEEN 1 AND {max_len}
+      GROUP BY c.item, t.item) m"""
+
+
+def scores_sql(enc: str, max_len: int = 20, decay: float = 0.8) -> str:
+    """Next-item probabilities for each sequence of ``enc`` from its last
+    ``max_len`` items, with the model fit on ``enc``."""
+    return f"""
+SELECT * FROM (
+WITH model AS ({model_sql(enc, max_len, decay)}),
+ctx AS (SELECT e.seq_id, e.item AS ctx_item, l.lp - e.pos + 1 AS d
+        FROM {enc} e JOIN (SELECT seq_id, max(pos) AS lp FROM {enc} GROUP BY seq_id) l ON l.seq_id = e.seq_id
+        WHERE l.lp - e.pos + 1 <= {max_len}),
+known AS (SELECT * FROM ctx WHERE ctx_item IN (SELECT ctx_item FROM model)),
+norm AS (SELECT seq_id, sum(pow({decay}e0, d - 1)) AS z FROM known GROUP BY seq_id),
+shares AS (SELECT item AS next_item, count(*) / sum(count(*)) OVER () AS prob
+           FROM {enc} WHERE pos >= 1 GROUP BY item),
+warm AS (SELECT k.seq_id, m.next_item, sum(pow({decay}e0, k.d - 1) * m.prob) / n.z AS probability
+         FROM known k JOIN model m ON m.ctx_item = k.ctx_item JOIN norm n ON n.seq_id = k.seq_id
+         GROUP BY k.seq_id, m.next_item, n.z),
+cold AS (SELECT q.seq_id, s.next_item, s.prob AS probability
+         FROM (SELECT DISTINCT seq_id FROM ctx WHERE seq_id NOT IN (SELECT seq_id FROM norm)) q, shares s)
+SELECT * FROM warm UNION ALL SELECT * FROM cold) sc"""
