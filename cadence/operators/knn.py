@@ -30,7 +30,7 @@ from cadence.functions.vectors import dot
 from cadence.session import cut_lineage
 
 
-WIDE = 16  # above this many components vectors stay ARRAY<DOUBLE>
+WIDE = 8  # above this many components vectors stay ARRAY<DOUBLE>
 
 
 def vector_columns(dim: int, prefix: str = "v") -> list[str]:
