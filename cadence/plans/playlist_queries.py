@@ -88,3 +88,21 @@ WINDOW w AS (PARTITION BY pool_id ORDER BY ord)"""
 
 
 query("transition_playlist", _beam_sql())(transition_playlist)
+
+
+# Energy by position of every generated playlist, with the running mean
+# the arc bonus compares against.
+_ARC_W = "(PARTITION BY z.seed_idx ORDER BY z.\"order\" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+query("playlist_energy_arc", with_ctes(f"""
+SELECT z.seed_idx, z."order", z.track_idx, t.energy,
+       round(avg(t.energy) OVER {_ARC_W}, 9) AS running_energy
+FROM ({_beam_sql()}) z JOIN scored_tracks t ON t.track_idx = z.track_idx""", "scored_tracks"))(
+    lambda spark, sf: energy_arc(transition_playlist(spark, sf), tracks(spark, sf)))
+
+
+def energy_arc(rows, tr):
+    from pyspark.sql import Window
+    w = Window.partitionBy("seed_idx").orderBy("order").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.join(tr.select("track_idx", "energy"), "track_idx").select(
+        "seed_idx", "order", "track_idx", "energy",
+        F.round(F.avg("energy").over(w), 9).alias("running_energy"))
