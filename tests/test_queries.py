@@ -2,6 +2,7 @@
 DuckDB's answer (column names, row count, values); the others must run and
 return their documented columns. ``CADENCE_QUICK=1`` skips the slowest."""
 
+import math
 import os
 import sys
 
@@ -49,7 +50,19 @@ def test_query_matches_oracle(spark, sf, duck, name):
     orows = rows_of(ocols, res.fetchall(), 9)
     assert sorted(scols) == sorted(ocols)
     assert len(srows) == len(orows)
-    assert srows == orows
+    bad = [(a, b) for a, b in zip(srows, orows) if not _same(a, b)]
+    assert not bad, bad[:3]
+
+
+def _same(a, b):
+    """Equal, except that doubles may differ in the last kept digit: both
+    engines round the same value at 9 digits, but sum in different orders,
+    so a mean that lands on a rounding boundary can go either way."""
+    if isinstance(a, tuple) and isinstance(b, tuple):
+        return len(a) == len(b) and all(_same(x, y) for x, y in zip(a, b))
+    if isinstance(a, float) and isinstance(b, float):
+        return math.isclose(a, b, rel_tol=0.0, abs_tol=2e-9)
+    return a == b
 
 
 @pytest.mark.parametrize("name", sorted(set(QS) - set(ORC)))
