@@ -88,7 +88,7 @@ def compare_models(results: dict[str, DataFrame]) -> DataFrame:
 def coverage(recs: DataFrame, catalogue_size: DataFrame, item: str = "item") -> DataFrame:
     """Distinct recommended items / catalogue size (one row)."""
     d = recs.agg(F.countDistinct(item).alias("recommended")).withColumn("_one", F.lit(1))
-    return d.join(catalogue_size.withColumn("_one", F.lit(1)), "_one").select(
+    return d.join(F.broadcast(catalogue_size.withColumn("_one", F.lit(1))), "_one").select(  # one row each
         "recommended", "catalogue", (F.col("recommended") / F.col("catalogue")).alias("coverage"))
 
 
