@@ -121,7 +121,7 @@ def cosine_topk(queries: DataFrame, items: DataFrame, k: int, dim: int, *,
                 query_key: str = "query_id", item_key: str = "track_idx",
                 self_key: str | None = None, exclude: DataFrame | None = None,
                 eps: float = 0.0, grid_dims: int = 2,
-                start_radius: float | None = None) -> DataFrame:
+                start_radius: float | None = None, method: str = "auto") -> DataFrame:
     """Exact top-``k`` items per query by cosine similarity.
 
     ``queries``: (query_key, [self_key], v0..v{dim-1}); ``items``:
@@ -129,12 +129,20 @@ def cosine_topk(queries: DataFrame, items: DataFrame, k: int, dim: int, *,
     never returned; ``exclude`` holds (query_key, item_key) pairs removed
     before ranking. Similarity is ``dot / (|a||b| + eps)``; with ``eps = 0`` a
     zero vector scores 0. Order: similarity desc, item_key asc.
+    ``method``: "blocked" (matrix products over bounded blocks, see below),
+    "grid" (radius rounds), or "auto" = blocked while the packed items stay
+    under ``MAX_ITEM_BYTES``, else grid.
     Returns (query_key, rank, item_key, similarity).
     """
     g = max(1, min(grid_dims, dim))
     if self_key == query_key:
         queries = queries.withColumn("_self", F.col(query_key))
         self_key = "_self"
+    if method in ("auto", "blocked"):
+        n = items.count()
+        if method == "blocked" or n * (8 * dim + 16) <= MAX_ITEM_BYTES:
+            return _cosine_topk_blocked(queries, items, k, dim, query_key, item_key, self_key,
+                                        exclude, eps, n)
     qv, iv, qu, iu = _Vec("v", dim), _Vec("w", dim), _Vec("u", dim), _Vec("x", dim)
     q = _unit(queries.select(query_key, *([self_key] if self_key else []), *qv.cols()), dim)
     it = _unit(items.select(F.col(item_key).alias("_item"), *qv.cols()), dim)
@@ -198,3 +206,117 @@ def cosine_topk(queries: DataFrame, items: DataFrame, k: int, dim: int, *,
         out = out.unionByName(d)
     return out.select(query_key, F.col("rank").cast("int").alias("rank"),
                       F.col("_item").alias(item_key), "similarity")
+
+
+# ---------------------------------------------------------------------------
+# Blocked exact top-k (the default path)
+# ---------------------------------------------------------------------------
+#
+# In 8 and more dimensions a grid prunes little: the cells around a query
+# hold most of the catalogue long before they hold its k-th neighbour. The
+# blocked path computes the similarities of a block of queries against a
+# block of items as one matrix product inside a task and keeps, per query,
+# only the candidates that can still rank (its top m plus near-ties), so no
+# pair is ever a row. Blocks are bounded by construction (QUERY_BLOCK
+# queries, ITEM_BLOCK items). The packed item blocks are broadcast to the
+# query blocks only when their total size is below MAX_ITEM_BYTES (checked
+# from the item count); otherwise the grid path above answers the query.
+# The candidates' similarities are then recomputed with the same Column
+# expression as the grid path and ranked by the same window, so both paths
+# return identical rows.
+
+QUERY_BLOCK = 4096
+ITEM_BLOCK = 8192
+MAX_ITEM_BYTES = 512 * 1024 * 1024
+_SUB = 512  # query rows per matrix product inside a task (bounds task memory)
+_TIE = 1e-9  # candidates within this of the m-th similarity are kept
+
+
+def _vector_array(dim: int, prefix: str = "v") -> Column:
+    v = _Vec(prefix, dim)
+    return F.col(prefix) if v.wide else F.array(*[F.col(c) for c in v.cols()])
+
+
+def _blocked_candidates(q: DataFrame, it: DataFrame, dim: int, query_key: str, self_key: str | None,
+                        need: str, n_items: int, eps: float) -> DataFrame:
+    """(query_key, _item) candidate pairs. ``q`` has (query_key, [self_key],
+    need, v...), ``it`` has (_item, v...)."""
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql.types import StructField, StructType
+
+    spark = q.sparkSession
+    n_blocks = max(1, -(-n_items // ITEM_BLOCK))
+    ipack = (it.select("_item", _vector_array(dim).alias("_v"))
+             .withColumn("_ib", F.pmod(F.xxhash64("_item"), F.lit(n_blocks)))
+             .groupBy("_ib").agg(F.collect_list(F.struct("_item", "_v")).alias("_items")))
+    n_q = q.count()
+    q_blocks = max(1, -(-n_q // QUERY_BLOCK))
+    selfc = F.col(self_key) if self_key else F.lit(None).cast(it.schema["_item"].dataType)
+    qpack = (q.select(F.col(query_key).alias("_q"), selfc.alias("_s"), F.col(need).alias("_m"),
+                      _vector_array(dim).alias("_v"))
+             .withColumn("_qb", F.pmod(F.xxhash64("_q"), F.lit(q_blocks)))
+             .groupBy("_qb").agg(F.collect_list(F.struct("_q", "_s", "_m", "_v")).alias("_qs")))
+    pairs = qpack.join(F.broadcast(ipack)).select("_qs", "_items")
+    out_schema = StructType([StructField(query_key, q.schema[query_key].dataType),
+                             StructField("_item", it.schema["_item"].dataType)])
+
+    def top_candidates(batches):
+        for pdf in batches:
+            for qs, items in zip(pdf["_qs"], pdf["_items"]):
+                ids = np.array([r["_item"] for r in items], dtype=object)
+                mat = np.array([r["_v"] for r in items], dtype=np.float64).reshape(len(items), dim)
+                inorm = np.sqrt((mat * mat).sum(axis=1))
+                pos = {k: i for i, k in enumerate(ids)}
+                for s in range(0, len(qs), _SUB):
+                    sub = qs[s:s + _SUB]
+                    qm = np.array([r["_v"] for r in sub], dtype=np.float64).reshape(len(sub), dim)
+                    qnorm = np.sqrt((qm * qm).sum(axis=1))
+                    den = qnorm[:, None] * inorm[None, :]
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        sim = qm @ mat.T / (den + eps) if eps else np.where(den == 0, 0.0, qm @ mat.T / den)
+                    for r, row in enumerate(sub):
+                        j = pos.get(row["_s"]) if row["_s"] is not None else None
+                        if j is not None:
+                            sim[r, j] = -np.inf
+                    out_q, out_i = [], []
+                    for r, row in enumerate(sub):
+                        m = min(int(row["_m"]), len(ids))
+                        s_row = sim[r]
+                        kth = np.partition(s_row, len(ids) - m)[len(ids) - m]
+                        keep = np.nonzero(s_row >= kth - _TIE)[0]
+                        keep = keep[np.isfinite(s_row[keep])]
+                        out_q.extend([row["_q"]] * len(keep))
+                        out_i.extend(ids[keep].tolist())
+                    if out_q:
+                        yield pd.DataFrame({query_key: out_q, "_item": out_i})
+
+    return pairs.mapInPandas(top_candidates, out_schema)
+
+
+def _cosine_topk_blocked(queries: DataFrame, items: DataFrame, k: int, dim: int, query_key: str,
+                         item_key: str, self_key: str | None, exclude: DataFrame | None,
+                         eps: float, n_items: int) -> DataFrame:
+    qv, iv = _Vec("v", dim), _Vec("w", dim)
+    q = queries.select(query_key, *([self_key] if self_key else []), *qv.cols())
+    it = items.select(F.col(item_key).alias("_item"), *qv.cols())
+    ex = None
+    if exclude is not None:
+        ex = exclude.select(F.col(query_key), F.col(item_key).alias("_item")).distinct()
+        sizes = ex.groupBy(query_key).agg(F.count(F.lit(1)).alias("_e"))
+        q = q.join(sizes, query_key, "left").withColumn(
+            "_need", F.lit(k) + F.coalesce(F.col("_e"), F.lit(0))).drop("_e")
+    else:
+        q = q.withColumn("_need", F.lit(k))
+    q = cut_lineage(q)
+    cand = cut_lineage(_blocked_candidates(q, it, dim, query_key, self_key, "_need", n_items, eps))
+    if ex is not None:
+        cand = cand.join(ex, [query_key, "_item"], "left_anti")
+    itw = it.select("_item", *qv.rename(it.columns, "w"))
+    pairs = cand.join(q.select(query_key, *qv.cols()), query_key).join(itw, "_item")
+    sim = qv.cosine(iv, eps)
+    order = Window.partitionBy(query_key).orderBy(F.col("similarity").desc(), F.col("_item").asc())
+    ranked = pairs.select(query_key, "_item", sim.alias("similarity")) \
+        .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select(query_key, F.col("rank").cast("int").alias("rank"),
+                         F.col("_item").alias(item_key), "similarity")

@@ -23,7 +23,11 @@ def _frame(spark, key, arr, dim):
     return spark.createDataFrame(rows, [key] + [f"v{d}" for d in range(dim)])
 
 
-def test_topk_matches_brute_force(spark):
+import pytest
+
+
+@pytest.mark.parametrize("method", ["blocked", "grid"])
+def test_topk_matches_brute_force(spark, method):
     rng = np.random.default_rng(3)
     dim, n, k = 6, 300, 7
     items = rng.random((n, dim))
@@ -31,7 +35,7 @@ def test_topk_matches_brute_force(spark):
     it = _frame(spark, "track_idx", items, dim)
     q = it.withColumnRenamed("track_idx", "query_id").withColumn("self", __import__(
         "pyspark.sql.functions", fromlist=["col"]).col("query_id"))
-    res = knn.cosine_topk(q, it, k, dim, query_key="query_id", self_key="self")
+    res = knn.cosine_topk(q, it, k, dim, query_key="query_id", self_key="self", method=method)
     got = {}
     for r in res.orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append(r["track_idx"])
@@ -41,7 +45,8 @@ def test_topk_matches_brute_force(spark):
     assert not mism, mism[:5]
 
 
-def test_exclusion_and_ranks(spark):
+@pytest.mark.parametrize("method", ["blocked", "grid"])
+def test_exclusion_and_ranks(spark, method):
     rng = np.random.default_rng(11)
     dim, n, k = 4, 80, 5
     items = rng.random((n, dim))
@@ -50,7 +55,7 @@ def test_exclusion_and_ranks(spark):
     it = _frame(spark, "track_idx", items, dim)
     q = _frame(spark, "query_id", queries, dim)
     ex = spark.createDataFrame(sorted(excl), "query_id long, track_idx long")
-    res = knn.cosine_topk(q, it, k, dim, exclude=ex).orderBy("query_id", "rank").collect()
+    res = knn.cosine_topk(q, it, k, dim, exclude=ex, method=method).orderBy("query_id", "rank").collect()
     got = {}
     for r in res:
         got.setdefault(r["query_id"], []).append((r["rank"], r["track_idx"], r["similarity"]))
