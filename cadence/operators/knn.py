@@ -1,7 +1,12 @@
 """Exact top-k cosine neighbours for a whole table of queries (J6, T1, R1,
-R2, R4, R10) without a cross join.
+R2, R4, R10) that never emits query x item pairs as rows.
 
-Vectors are projected to the unit sphere, where cosine order is distance
+Two paths: the blocked path (default, at the end of this module) pairs
+bounded blocks of queries and items and keeps only top candidates per
+query; the grid path below is the fallback when the packed items are too
+large to broadcast.
+
+Grid path: vectors are projected to the unit sphere, where cosine order is distance
 order: ``|u - v|^2 = 2 - 2 cos``. Items are placed in a grid cell over ``g``
 coordinates of width ``r``; a query is joined (equi-join on the cell) only to
 the 3^g cells around its own, which contain every item within distance ``r``.
