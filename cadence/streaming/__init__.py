@@ -1 +1,8 @@
-"""streaming"""
+"""Streaming: intentionally empty.
+
+The reference has no streaming path (no watermarks, windows over event time
+or stateful operators); its catalogue and models are refreshed by a weekly
+batch. Every operator here is a batch DataFrame transformation, so a
+Structured Streaming job can call them from ``foreachBatch`` if one is ever
+needed.
+"""
