@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import exact_dedup, near_dedup, packing, secrets, token_files, toxicity
+from cadence.llm import exact_dedup, fingerprints, near_dedup, packing, secrets, substring_dedup, token_files, toxicity
 from cadence.llm.common import documents
 
 
@@ -19,6 +19,13 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.cut_repeats(documents(spark, sf_dir))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(documents(spark, sf_dir).select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["rule"] < len(secrets.BASE))
@@ -35,6 +42,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(token_files.write_tokens(documents(spark, sf_dir)))
 
 
+def op7_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.neighbours(documents(spark, sf_dir))
+
+
 def op8_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -47,7 +58,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_secret_scan, op5_token_files, op8_circulant_minhash, op9_exact_dedup, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_suffix_dedup, op3_secret_scan, op5_token_files, op7_weighted_fingerprints, op8_circulant_minhash, op9_exact_dedup, op10_packing)}
 
 #: White space, as in the contracts of the queries below.
 ORACLE: dict[str, str] = {

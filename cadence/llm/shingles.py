@@ -62,22 +62,27 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, mix(sums + length.astype(np.uint64))
 
 
-def shingle_sets(texts: list[str]) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes of each text, in order."""
+def shingle_lists(texts: list[str]) -> Iterator[np.ndarray]:
+    """The shingle hashes of each text in reading order, repeats included."""
     group: list[bytes] = []
     size = 0
     for text in texts:
         data = text.encode("utf-8", "surrogatepass").translate(_LOWER)
         if group and size + len(data) > GROUP_BYTES:
-            yield from _group_sets(group)
+            yield from _group_lists(group)
             group, size = [], 0
         group.append(data)
         size += len(data) + 1
     if group:
-        yield from _group_sets(group)
+        yield from _group_lists(group)
+
+
+def shingle_sets(texts: list[str]) -> Iterator[np.ndarray]:
+    """The sorted distinct shingle hashes of each text, in order."""
+    return map(np.unique, shingle_lists(texts))
 
 
-def _group_sets(group: list[bytes]) -> Iterator[np.ndarray]:
+def _group_lists(group: list[bytes]) -> Iterator[np.ndarray]:
     first, words = word_hashes(np.frombuffer(b" ".join(group) + b" ", np.uint8))
     ends = np.cumsum([len(g) + 1 for g in group])
     cut = np.searchsorted(first, ends)
@@ -89,9 +94,10 @@ def _group_sets(group: list[bytes]) -> Iterator[np.ndarray]:
     for stop in cut.tolist():
         n = stop - at
         if n >= WORDS:
-            yield np.unique(rolled[at:stop - WORDS + 1])
+            yield rolled[at:stop - WORDS + 1]
         elif n:
-            yield mix(np.array([(words[at:stop] * _ORDER[:n]).sum(dtype=np.uint64) + _SHORT[n]], np.uint64))
+            short = (words[at:stop] * _ORDER[:n]).sum(dtype=np.uint64, keepdims=True) + _SHORT[n:n + 1]
+            yield mix(short)
         else:
             yield np.empty(0, np.uint64)
         at = stop
