@@ -8,10 +8,9 @@ against the "repeated" bitmap: a row whose positions are not all repeated is
 provably unique and passes straight through; only the others shuffle, into an
 exact aggregation by SHA-256, so false positives cost time, never rows.
 
-The filter has ``bits_per_row`` bits a row, but at most ``max_bits``; the bound
-makes the broadcast bitmap a fixed size (32 MiB) whatever the input. With more
-rows the filter grows fuller and lets more unique rows into the shuffle, until
-the plan is a plain aggregation by hash. Results are the same at every size.
+The filter (``bloom``) has a bounded size whatever the input. With more rows it
+grows fuller and lets more unique rows into the shuffle, until the plan is a
+plain aggregation by hash. Results are the same at every size.
 
 Defined cases: a NULL text counts as the empty text, and all empty texts are
 one group; a NULL doc_id sorts after every other id; repeated rows (same id,
@@ -23,21 +22,12 @@ ignored by ``decisions``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadence.llm.bloom import MAX_BITS, filter_bits, membership, position_bitmap
 from cadence.llm.common import SPACE, fresh, keyed_texts, scratch_table, ship_package, whole_text
 
-SEGMENT_BITS = 1 << 16
-HASHES = 4
-MAX_BITS = 1 << 28
-
-
 def text_sha256(text: Column) -> Column:
     """Lowercase hex SHA-256 of the text without white space."""
     return F.sha2(F.regexp_replace(text, f"{SPACE}+", ""), 256)
@@ -52,102 +42,12 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     ).withColumn("row_hash", F.xxhash64("text_sha256"))
 
 
-def filter_bits(n_rows: int, bits_per_row: int = 16, max_bits: int = MAX_BITS) -> int:
-    """Size of the filter: a power of two, one segment at least."""
-    wanted = max(SEGMENT_BITS, n_rows * bits_per_row)
-    return min(max_bits, 1 << (wanted - 1).bit_length())
-
-
-def positions(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """(rows, HASHES) filter positions; each hash owns one part of the filter,
-    so the positions of one row are distinct."""
-    part = np.uint64(bits // HASHES)
-    out = np.empty((len(hashes), HASHES), np.int64)
-    h = hashes.astype(np.uint64)
-    for j in range(HASHES):
-        h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-        out[:, j] = ((h >> np.uint64(17)) % part + np.uint64(j) * part).astype(np.int64)
-    return out
-
-
-def repeated_bitmap(rows: DataFrame, bits: int) -> np.ndarray:
-    """Pass 1: the "repeated" bitmap of ``rows.row_hash`` as packed bytes.
-
-    Each task sends, per touched segment, the 16-bit positions it saw once and
-    more than once; a second stage merges them segment by segment. The driver
-    receives ``bits / 8`` bytes at most."""
-    part_schema = pa.schema([("segment", pa.int32()), ("once", pa.binary()), ("repeated", pa.binary())])
-
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pos = positions(batch.column(0).to_numpy(zero_copy_only=False), bits).ravel()
-            if not len(pos):
-                continue
-            at, n = np.unique(pos, return_counts=True)
-            segment = at // SEGMENT_BITS
-            first = np.flatnonzero(np.diff(segment, prepend=-1))
-            cut = np.append(first, len(at))
-            low = (at % SEGMENT_BITS).astype("<u2")
-            once, more = [], []
-            for a, b in zip(cut[:-1], cut[1:]):
-                many = n[a:b] > 1
-                once.append(low[a:b][~many].tobytes())
-                more.append(low[a:b][many].tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(segment[first], pa.int32()), pa.array(once, pa.binary()), pa.array(more, pa.binary())],
-                schema=part_schema)
-
-    merged_schema = pa.schema([("segment", pa.int32()), ("bitmap", pa.binary())])
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, count = None, None
-
-        def done():
-            return pa.RecordBatch.from_arrays(
-                [pa.array([now], pa.int32()), pa.array([np.packbits(count > 1).tobytes()], pa.binary())],
-                schema=merged_schema)
-
-        for batch in batches:
-            for segment, once, more in zip(*(c.to_pylist() for c in batch.columns)):
-                if segment != now:
-                    if now is not None:
-                        yield done()
-                    now, count = segment, np.zeros(SEGMENT_BITS, np.uint8)
-                at = np.frombuffer(once, "<u2")
-                count[at] = np.minimum(count[at] + 1, 2)
-                count[np.frombuffer(more, "<u2")] = 2
-        if now is not None:
-            yield done()
-
-    segments = (
-        rows.select("row_hash").mapInArrow(partial, "segment int, once binary, repeated binary")
-        .repartition("segment").sortWithinPartitions("segment")
-        .mapInArrow(merge, "segment int, bitmap binary"))
-    bitmap = np.zeros((bits // SEGMENT_BITS, SEGMENT_BITS // 8), np.uint8)
-    for row in segments.toLocalIterator():
-        bitmap[row.segment] = np.frombuffer(row.bitmap, np.uint8)
-    return bitmap.ravel()
-
-
-def maybe_repeated(spark: SparkSession, bitmap: np.ndarray, bits: int):
-    """Pass 2's test as a column function over ``row_hash``."""
-    shared = spark.sparkContext.broadcast(bitmap)
-
-    @F.pandas_udf("boolean")
-    def test(row_hash: pd.Series) -> pd.Series:
-        pos = positions(row_hash.to_numpy(), bits)
-        filled = shared.value[pos >> 3] >> (7 - (pos & 7)).astype(np.uint8) & 1
-        return pd.Series(filled.all(axis=1))
-
-    return test
-
-
 def _plan(docs: DataFrame, id_col: str, text_col: str, max_bits: int):
     """The stored digests, the Bloom test, and the table of real groups."""
     ship_package(docs.sparkSession)
     rows = scratch_table(digests(docs, id_col, text_col), "exact-digests")
     bits = filter_bits(rows.count(), max_bits=max_bits)
-    test = maybe_repeated(docs.sparkSession, repeated_bitmap(rows, bits), bits)
+    test = membership(docs.sparkSession, position_bitmap(rows.select("row_hash"), bits, least=2), bits)
     groups = (
         rows.where(test("row_hash")).groupBy("text_sha256")
         .agg(F.count(F.lit(1)).alias("group_size"),

@@ -4,14 +4,18 @@
 pairs that share a bucket, up to connectedness, without pairing the members of
 a bucket with one another:
 
-1. Each bucket's smallest vid is its hub. Every member is compared with its
-   hubs on full sets (a star: as many pairs as members), and the links found
-   give first components.
+1. Each bucket has a hub: the member whose buckets hold most members in all
+   (then the smallest vid). In a family of near copies that is the member nearest
+   to the common original. Every member is compared with its hubs on full sets
+   (a star: as many pairs as members), and the links found give first components.
 2. A pair that shares a bucket and is still in two components is compared too,
-   unless it provably cannot link: sizes too different, or, as 1 - Jaccard is a
-   metric, similarities to the bucket's hub further apart than a linked pair
-   allows. A large group of near copies is one component after step 1, so only
-   its few outsiders are paired, with the members the bounds leave.
+   unless it provably cannot link: sizes too different; similarities to the
+   bucket's hub further apart than a linked pair allows (1 - Jaccard is a
+   metric); or too few items that any other candidate holds, inside the hub's
+   set and outside it, since items of one set alone count for the union only.
+   A large group of near copies is one component after step 1; its outsiders are
+   those with many edits of their own, and the last bound settles most of them
+   without pairing. A pair is taken from the first band it shares.
 
 Both steps are joins on the bucket, followed by an exact intersection of the
 two sets; all tables that feed a possibly skewed join are stored first, so that
@@ -25,6 +29,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadence.llm.bloom import shared_items
 from cadence.llm.common import scratch_table
 
 
@@ -50,18 +55,19 @@ def band_components(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
     smallest vid. ``items``: vid long, n int, bands array<long>, stored.
     ``sets_of`` gives (vid, items array<long>) of a frame of distinct vids."""
     members = items.select("vid", "n", F.explode("bands").alias("bucket"))
+    sizes = scratch_table(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
+    shared = scratch_table(members.join(sizes, "bucket"), "members")
+    weights = scratch_table(shared.groupBy("vid").agg(F.sum("size").alias("weight")), "weights")
+    shared = scratch_table(shared.join(weights, "vid"), "weighted")
     hubs = scratch_table(
-        members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("vid").alias("hub"),
-                                      F.min_by("n", "vid").alias("hub_n")).where("size > 1"), "hubs")
-    shared = scratch_table(members.join(hubs, "bucket").where("vid <> hub"), "members")
+        shared.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("vid")).alias("neg"), "n")).alias("top"))
+        .select("bucket", (-F.col("top.neg")).alias("hub"), F.col("top.n").alias("hub_n")), "hubs")
+    shared = scratch_table(shared.drop("weight").join(hubs, "bucket").where("vid <> hub"), "placed")
     star = scratch_table(
         shared.where(_bounded(F.col("n"), F.col("hub_n"), percent))
         .groupBy(F.col("hub").alias("a"), F.col("vid").alias("b")).agg(F.lit(1).alias("x")), "star")
-
-    def needed(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.explode(F.array("a", "b")).alias("vid")).distinct()
-
-    tested = scratch_table(compare(star, scratch_table(sets_of(needed(star)), "sets"), percent), "tested")
+    sets = scratch_table(sets_of(weights.select("vid")), "sets")
+    tested = scratch_table(compare(star, sets, percent), "tested")
     links = tested.where("linked").select("a", "b")
     first = components(links)
 
@@ -73,35 +79,45 @@ def band_components(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
         shared.where("size > 2").join(label, "vid", "left")
         .join(tested.select(F.col("a").alias("hub"), F.col("b").alias("vid"), "jaccard"), ["hub", "vid"], "left")
         .join(hub_label, "hub", "left")
-        .select("bucket", "vid", "n", F.coalesce("label", "vid").alias("label"), "jaccard",
+        .withColumn("in_hub", F.round(F.col("jaccard") * (F.col("n") + F.col("hub_n")) / (1 + F.col("jaccard"))))
+        .select("bucket", "vid", "n", F.coalesce("label", "vid").alias("label"), "jaccard", "in_hub",
                 (F.coalesce("label", "vid") != F.coalesce("hub_label", "hub")).alias("outside")))
     placed = scratch_table(placed, "placed")
+    some = scratch_table(sets.join(placed.select("vid").distinct(), "vid", "left_semi"), "some")
+    placed = scratch_table(
+        placed.join(shared_items(some), "vid").join(items.select("vid", "bands"), "vid").where(F.col("common") * 100 >= F.col("n") * percent), "common")
     reach = 1 - percent / 100
     outside = placed.where("outside").select(
         "bucket", F.col("vid").alias("x"), F.col("n").alias("x_n"), F.col("label").alias("x_label"),
-        F.col("jaccard").alias("x_j"))
+        F.col("jaccard").alias("x_j"), F.col("common").alias("x_common"), F.col("in_hub").alias("x_in_hub"),
+        F.col("bands").alias("x_bands"))
     edge = scratch_table(outside.groupBy("bucket").agg(
         F.max(F.coalesce("x_j", F.lit(1.0))).alias("most"), F.min("x_n").alias("least_n"),
         F.max("x_n").alias("most_n")), "edge")
     near = placed.join(edge, "bucket").where(
         (F.coalesce("jaccard", F.lit(0.0)) <= F.col("most") + reach + 1e-9)
         & (F.col("n") * 100 >= F.col("least_n") * percent) & (F.col("most_n") * 100 >= F.col("n") * percent))
+    shareable = F.least(
+        F.least("x_common", "common"),
+        F.least("x_in_hub", "in_hub") + F.least(F.col("x_common") - F.col("x_in_hub"),
+                                                F.col("common") - F.col("in_hub")))
     rest = (
         outside.join(near, "bucket")
         .where((F.col("x_label") != F.col("label")) & (~F.col("outside") | (F.col("x") < F.col("vid")))
-               & _bounded(F.col("x_n"), F.col("n"), percent)
-               & F.coalesce(F.abs(F.col("x_j") - F.col("jaccard")) <= reach + 1e-9, F.lit(True)))
+               & (shareable * 100 >= (F.col("x_n") + F.col("n") - shareable) * percent)
+               & F.coalesce(F.abs(F.col("x_j") - F.col("jaccard")) <= reach + 1e-9, F.lit(True))
+               & (F.get(F.array_intersect("x_bands", "bands"), F.lit(0)) == F.col("bucket")))
         .select(F.least("x", "vid").alias("a"), F.greatest("x", "vid").alias("b")).distinct())
     rest = scratch_table(rest, "rest")
     if rest.isEmpty():
         return first
-    more = compare(rest, scratch_table(sets_of(needed(rest)), "sets"), percent).where("linked").select("a", "b")
-    return components(links.unionByName(more))
+    more = compare(rest, sets, percent).where("linked").select("a", "b")
+    known = first.select(F.col("vid").alias("a"), F.col("label").alias("b"))
+    return components(known.unionByName(more))
 
 
 def _star_step(pairs: DataFrame, least_self: bool) -> DataFrame:
     """Every pair (u, v) becomes (v, smallest neighbour of u)."""
-    pairs = scratch_table(pairs, "pairs")
     low = F.min("v")
     least = scratch_table(pairs.groupBy("u").agg((F.least("u", low) if least_self else low).alias("m")), "least")
     moved = pairs.join(least, "u")
@@ -121,8 +137,9 @@ def components(links: DataFrame) -> DataFrame:
     state = None
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _star_step(both, True).where("u <> v").distinct()
-        small = _star_step(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), False)
+        large = scratch_table(_star_step(both, True).where("u <> v").select(
+            F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "large")
+        small = _star_step(large, False)
         pairs = scratch_table(small.where("u <> v").distinct(), "links")
         now = pairs.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u") % 65536)).first()
         if now == state or not now[0]:

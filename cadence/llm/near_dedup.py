@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadence.llm.bloom import maybe_in
 from cadence.llm.common import fresh, keyed_texts, scratch_table, ship_package, whole_text
 from cadence.llm.linking import band_components
 from cadence.llm.shingles import mix, numbered, set_key, shingle_sets
@@ -114,7 +115,9 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perc
     def sets_of(vids: DataFrame) -> DataFrame:
         wanted = scratch_table(classes.join(vids, "vid").select(
             "vid", F.col("one.doc_id").alias("w_id"), F.col("one.text_hash").alias("w_hash")), "wanted")
-        found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.xxhash64("text") == F.col("w_hash")))
+        hashed = texts.withColumn("text_hash", F.xxhash64("text"))
+        found = hashed.where(maybe_in(wanted.select("w_hash"))("text_hash")).join(
+            wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")))
         return shingle_rows(found)
 
     labels = band_components(classes.select("vid", "n", "bands"), sets_of, percent)
