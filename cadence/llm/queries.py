@@ -7,7 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import exact_dedup, fingerprints, near_dedup, packing, secrets, substring_dedup, token_files, toxicity
+from cadence.llm import (exact_dedup, fingerprints, near_dedup, packing, paragraphs, pieces, secret_scan,
+                         substring_dedup, token_files, toxicity)
 from cadence.llm.common import documents
 
 
@@ -27,21 +28,34 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(documents(spark, sf_dir).select("doc_id", "text"))
-    base = F.filter("spans", lambda s: s["rule"] < len(secrets.BASE))
+    found = secret_scan.scan(documents(spark, sf_dir).select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["rule"] < len(secret_scan.BASE))
 
     def count(kind: int) -> Column:
         return F.size(F.filter("spans", lambda s: s["rule"] == kind)).cast("bigint")
 
     return found.select(
-        "doc_id", *(count(i).alias(f"n_{kind}") for i, kind in enumerate(secrets.BASE)),
-        F.sha2(secrets.span_list(base), 256).alias("base_sha256"), secrets.span_list(F.col("spans")).alias("spans"))
+        "doc_id", *(count(i).alias(f"n_{kind}") for i, kind in enumerate(secret_scan.BASE)),
+        F.sha2(secret_scan.span_list(base), 256).alias("base_sha256"), secret_scan.span_list(F.col("spans")).alias("spans"))
+
+
+def op4_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_paragraphs(documents(spark, sf_dir)).drop("text_hash")
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(token_files.write_tokens(documents(spark, sf_dir)))
 
 
+def op6_piece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.piece_digests(documents(spark, sf_dir))
+    best = F.get("segmentations", F.lit(0))
+    return found.select(
+        "doc_id", best["n_pieces"].alias("n_pieces"), best["score"].alias("score"), best["ids_crc32"].alias("ids_crc32"),
+        F.col("segmentations.score").alias("nbest_scores"), F.col("segmentations.ids_crc32").alias("nbest_crc32"),
+        "round_trip")
+
+
 def op7_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.neighbours(documents(spark, sf_dir))
 
@@ -58,7 +72,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_suffix_dedup, op3_secret_scan, op5_token_files, op7_weighted_fingerprints, op8_circulant_minhash, op9_exact_dedup, op10_packing)}
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_suffix_dedup, op3_secret_scan, op4_paragraph_minhash, op5_token_files, op6_piece_nbest,
+    op7_weighted_fingerprints, op8_circulant_minhash, op9_exact_dedup, op10_packing)}
 
 #: White space, as in the contracts of the queries below.
 ORACLE: dict[str, str] = {

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import exact_dedup, near_dedup, packing, secrets, toxicity
+from cadence.llm import exact_dedup, near_dedup, packing, secret_scan, toxicity
 from cadence.llm.common import documents, fresh, scratch_table
 
 #: Similarity from which near copies are one group, in percent.
@@ -40,7 +40,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with its secrets replaced by a mark; n_chars follows."""
-    redacted = secrets.redact(docs)
+    redacted = secret_scan.redact(docs)
     if "n_chars" not in docs.columns:
         return redacted
     return redacted.withColumn("n_chars", F.when(
