@@ -89,8 +89,8 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return float((a == b).mean())
 
 
-def as_text(codes: np.ndarray) -> str:
-    return codes.astype(">u2").tobytes().hex()
+def packed(codes: np.ndarray) -> bytes:
+    return codes.astype(">u2").tobytes()
 
 
 def edited(text: str, following: str) -> str:
@@ -100,9 +100,9 @@ def edited(text: str, following: str) -> str:
 
 
 RESULT = [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
-          ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()),
+          ("fingerprint", pa.binary()), ("edited_fingerprint", pa.binary()), ("near_edited", pa.float64()),
           ("near_next", pa.float64())]
-RESULT_TYPE = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+RESULT_TYPE = ("doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
                "near_edited double, near_next double")
 
 
@@ -112,7 +112,7 @@ def _results(ids: list, texts: list[str], own: list[np.ndarray], following: list
     marks = fingerprints(changed, samples)
     return {"doc_id": ids, "n_chars": [len(t) for t in texts],
             "edited_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in changed],
-            "fingerprint": [as_text(m) for m in own], "edited_fingerprint": [as_text(m) for m in marks],
+            "fingerprint": [packed(m) for m in own], "edited_fingerprint": [packed(m) for m in marks],
             "near_edited": [likeness(a, b) for a, b in zip(own, marks)],
             "near_next": [likeness(a, b) for a, b in zip(own, following_own)]}
 
@@ -173,4 +173,5 @@ def neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                     fingerprints(following, samples), samples), pa.schema(RESULT))
 
     names = [n for n, _ in RESULT]
-    return done.where("place = 'inner'").select(*names).unionByName(last.mapInArrow(pair, RESULT_TYPE))
+    found = done.where("place = 'inner'").select(*names).unionByName(last.mapInArrow(pair, RESULT_TYPE))
+    return found.withColumns({n: F.lower(F.hex(n)) for n in ("fingerprint", "edited_fingerprint")})
