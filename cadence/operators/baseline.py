@@ -27,9 +27,11 @@ def genre_baseline(catalogue: DataFrame, seeds: DataFrame, n: int = 20,
     """seeds: (seed_idx, genre). catalogue: (track_idx, track_id, genre,
     popularity). Returns (seed_idx, rank, track_idx, track_id, popularity,
     baseline_score)."""
-    cat = catalogue.select("track_idx", "track_id", "genre", "popularity")
     if "popularity" not in catalogue.columns:
-        cat = cat.withColumn("popularity", F.lit(50))
+        catalogue = catalogue.withColumn("popularity", F.lit(50))
+    if "genre" not in catalogue.columns:
+        catalogue = catalogue.withColumn("genre", F.lit("unknown"))
+    cat = catalogue.select("track_idx", "track_id", "genre", "popularity")
     counts = cat.where(F.col("genre").isNotNull()).groupBy("genre").agg(F.count(F.lit(1)).alias("_gn"))
     self_n = 1 if seed_in_catalogue else 0
     s = seeds.select("seed_idx", "genre").join(counts, "genre", "left")

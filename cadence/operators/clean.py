@@ -82,22 +82,27 @@ def union_sources(sources: list[DataFrame]) -> DataFrame:
 
 
 def dedupe_key(df: DataFrame) -> list:
-    """Dedupe key: track_id, or (track_name, artist) when the id is NULL."""
-    no_id = F.col("track_id").isNull()
-    return [F.col("track_id").alias("_k_id"),
-            F.when(no_id, F.col("track_name")).alias("_k_name"),
-            F.when(no_id, F.col("artist")).alias("_k_artist")]
+    """Dedupe key: track_id, or (track_name, artist) when the id is NULL; a
+    column that the frame lacks counts as NULL."""
+    def column(name: str):
+        return F.col(name) if name in df.columns else F.lit(None).cast("string")
+
+    no_id = column("track_id").isNull()
+    return [column("track_id").alias("_k_id"),
+            F.when(no_id, column("track_name")).alias("_k_name"),
+            F.when(no_id, column("artist")).alias("_k_artist")]
 
 
 def dedupe_tracks(df: DataFrame, order: list[str] | None = None) -> DataFrame:
     """First-wins dedupe. The winner per key is the row with the smallest
-    ``order`` tuple (default: source_priority, source_row, track_id); it is
-    chosen with ``min_by``, which pre-aggregates on the map side, so a key
+    ``order`` tuple (default: source_priority, source_file, source_row,
+    track_id), and of equal tuples the row with the smallest hash, so the winner
+    does not depend on the partitioning; it is chosen with ``min_by``, which pre-aggregates on the map side, so a key
     holding a large share of the rows never lands whole in one task."""
-    order = order or [c for c in ["source_priority", "source_row", "track_id"] if c in df.columns]
+    order = order or [c for c in ["source_priority", "source_file", "source_row", "track_id"] if c in df.columns]
     cols = df.columns
     keyed = df.select(*dedupe_key(df), F.struct(*cols).alias("_row"),
-                      F.struct(*order).alias("_ord"))
+                      F.struct(*order, F.xxhash64(*cols).alias("_hash")).alias("_ord"))
     return (keyed.groupBy("_k_id", "_k_name", "_k_artist")
             .agg(F.min_by("_row", "_ord").alias("_row"))
             .select("_row.*"))

@@ -34,8 +34,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that setting
-    is always used when present. Only when nothing is set (local tests) is a
-    scratch folder created.
+    is always used when present. Only when nothing is set and the master is
+    local is a scratch folder created; on a cluster that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -46,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     scratch = tempfile.mkdtemp(prefix="cadence-ckpt-")
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir()

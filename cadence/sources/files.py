@@ -2,8 +2,7 @@
 
 Raw track tables arrive as CSV files somewhere below a landing folder. Each
 reader is one lazy ``spark.read.csv`` over the folder tree, filtered by file
-name, so every file becomes its own set of input splits and the scan runs on
-all executors. Nothing is listed or read on the driver beyond Spark's own
+name, so the files are read by all executors at once. Nothing is listed or read on the driver beyond Spark's own
 file listing.
 """
 
@@ -26,9 +25,13 @@ REQUIRED_TRACK_COLUMNS = ["track_id", "track_name"] + AUDIO_FEATURES
 
 
 def _csv(spark: SparkSession, root: str, name_glob: str) -> DataFrame:
-    return (spark.read.option("header", True).option("inferSchema", True)
-            .option("recursiveFileLookup", True).option("pathGlobFilter", name_glob)
-            .option("mode", "PERMISSIVE").option("multiLine", False).csv(root))
+    """Quoted fields may hold commas, doubled quotes and line breaks, so a file is
+    one split; ``source_file`` and ``source_row`` give every row its place."""
+    df = (spark.read.option("header", True).option("inferSchema", True)
+          .option("recursiveFileLookup", True).option("pathGlobFilter", name_glob)
+          .option("mode", "PERMISSIVE").option("multiLine", True).option("quote", '"').option("escape", '"').csv(root))
+    return df.withColumn("source_file", F.col("_metadata.file_path")).withColumn(
+        "source_row", F.monotonically_increasing_id())
 
 
 def read_csv_tree(spark: SparkSession, root: str, name_glob: str = "*.csv",

@@ -93,3 +93,19 @@ def test_run_log_appends(spark, tmp_path):
     log = spark.read.parquet(path)
     assert log.count() == 4
     assert log.where("kind = 'metric'").count() == 3
+
+
+def test_csv_quotes_and_line_breaks(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('track_id,artists,track_name\n1,"[""A"", \'B\']","two\nlines"\n2,"x, y",plain\n')
+    rows = files.read_csv_tree(spark, str(tmp_path), "t.csv").orderBy("source_row").collect()
+    assert [(r.track_id, r.artists, r.track_name) for r in rows] == [
+        (1, '["A", \'B\']', "two\nlines"), (2, "x, y", "plain")]
+
+
+def test_first_row_of_a_file_wins(spark, tmp_path):
+    from cadence.operators.clean import dedupe_tracks, union_sources
+    (tmp_path / "t.csv").write_text("track_id,track_name\n1,first\n1,second\n2,other\n")
+    df = union_sources([files.read_csv_tree(spark, str(tmp_path), "t.csv")])
+    for n in (1, 5):
+        kept = dedupe_tracks(df.repartition(n)).collect()
+        assert sorted(r.track_name for r in kept) == ["first", "other"]
