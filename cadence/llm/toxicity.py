@@ -44,6 +44,7 @@ MIN_RATIO = 1.0
 REGULARISATION = 1e-3
 THRESHOLD = 0.3
 CHUNK_CHARS = 1 << 19
+SLICE = 512
 
 
 def held_out(doc_id: Column) -> Column:
@@ -133,7 +134,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxicit
     ship_package(spark)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(i, SLICE) for whole in batches for i in range(0, whole.num_rows, SLICE)):
             texts = batch.column(1).to_pylist()
             toxic = batch.column(0)
             for first, text, feature in text_features(texts):
@@ -185,8 +186,10 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxicit
     from pyspark.ml.linalg import SparseVector, VectorUDT
     n_features = len(chosen)
     to_vector = F.udf(lambda at, value: SparseVector(n_features, sorted(zip(at, value))), VectorUDT())
-    data = rows.mapInPandas(scaled, "label double, at array<int>, value array<double>").select(
-        "label", to_vector("at", "value").alias("features"))
+    # Stored in between: a task then runs one Python worker at a time.
+    chosen_values = scratch_table(
+        rows.mapInPandas(scaled, "label double, at array<int>, value array<double>"), "toxicity-values")
+    data = chosen_values.select("label", to_vector("at", "value").alias("features"))
     model = LogisticRegression(maxIter=40, regParam=REGULARISATION, standardization=False, tol=1e-6).fit(data)
     weights = np.zeros(1 << HASH_BITS)
     weights[chosen["feature"].to_numpy()] = np.asarray(model.coefficients) * ratios
