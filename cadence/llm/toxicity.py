@@ -43,6 +43,7 @@ MIN_ROWS = 5
 MIN_RATIO = 1.0
 REGULARISATION = 1e-3
 THRESHOLD = 0.3
+FIT_PARTS = 4
 CHUNK_CHARS = 1 << 19
 SLICE = 512
 
@@ -128,26 +129,20 @@ def training_rows(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
             .select("doc_id", "toxic", "text"))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """(1 for toxic or 0, text) of ``SLICE`` training rows at a time."""
+    for whole in batches:
+        for i in range(0, whole.num_rows, SLICE):
+            toxic, text = whole.slice(i, SLICE).columns
+            yield (toxic.to_numpy(zero_copy_only=False) > 0).astype(np.int64), text.to_pylist()
+
+
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> ToxicityModel:
     """Fit on ``labels`` (doc_id, toxic) and the texts of ``docs``."""
     spark = docs.sparkSession
     ship_package(spark)
 
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (whole.slice(i, SLICE) for whole in batches for i in range(0, whole.num_rows, SLICE)):
-            texts = batch.column(1).to_pylist()
-            toxic = batch.column(0)
-            for first, text, feature in text_features(texts):
-                n = min(len(texts) - first, int(text[-1]) + 1 if len(text) else 0)
-                cut = np.searchsorted(text, np.arange(n + 1))
-                yield pa.RecordBatch.from_arrays(
-                    [toxic.slice(first, n), pa.ListArray.from_arrays(pa.array(cut, pa.int32()),
-                                                                     pa.array(feature, pa.int32()))],
-                    names=["toxic", "features"])
-
-    rows = scratch_table(
-        training_rows(docs, labels, fit_rows).select("toxic", "text")
-        .mapInArrow(features, "toxic int, features array<int>"), "toxicity-features")
+    rows = scratch_table(training_rows(docs, labels, fit_rows).select("toxic", "text"), "toxicity-rows")
     totals = {r["toxic"]: r["n"] for r in rows.groupBy((F.col("toxic") > 0).cast("int").alias("toxic"))
               .agg(F.count(F.lit(1)).alias("n")).collect()}
     n_pos, n_neg = totals.get(1, 0), totals.get(0, 0)
@@ -156,17 +151,18 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxicit
     if not n_pos or not n_neg:
         return nothing
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros((2, 1 << HASH_BITS), np.int64)
-        for batch in batches:
-            for y, f in zip(batch["toxic"], batch["features"]):
-                counts[int(y > 0), f] += 1
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(2 << HASH_BITS, np.int64)
+        for toxic, texts in _slices(batches):
+            for first, text, feature in text_features(texts):
+                counts += np.bincount((toxic[first + text] << HASH_BITS) + feature, minlength=len(counts))
+        counts = counts.reshape(2, -1)
         seen = np.flatnonzero(counts.any(axis=0))
-        yield pd.DataFrame({"feature": seen.astype(np.int32), "neg": counts[0, seen], "pos": counts[1, seen]})
+        yield pa.RecordBatch.from_pydict({"feature": seen.astype(np.int32), "neg": counts[0, seen], "pos": counts[1, seen]})
 
     ratio = F.log((F.col("pos") + 1) / F.lit(n_pos + 2.0)) - F.log((F.col("neg") + 1) / F.lit(n_neg + 2.0))
     chosen = (
-        rows.mapInPandas(partial, "feature int, neg long, pos long")
+        rows.mapInArrow(partial, "feature int, neg long, pos long")
         .groupBy("feature").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
         .where(F.col("neg") + F.col("pos") >= MIN_ROWS).withColumn("r", ratio)
         .where(F.abs("r") >= MIN_RATIO).select("feature", "r").toPandas().sort_values("feature"))
@@ -177,19 +173,27 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxicit
     ratios = chosen["r"].to_numpy()
     shared = spark.sparkContext.broadcast((index, ratios))  # at most 1 << HASH_BITS features
 
-    def scaled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index, ratios = shared.value
-        for batch in batches:
-            at = [(i := index[f])[i >= 0] for f in batch["features"]]
-            yield pd.DataFrame({"label": (batch["toxic"] > 0).astype(float), "at": at, "value": [ratios[i] for i in at]})
+    def chosen_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value[0]
+        for toxic, texts in _slices(batches):
+            owner, found = [np.empty(0, np.int64)], [np.empty(0, np.int32)]
+            for first, text, feature in text_features(texts):
+                at = index[feature]
+                owner.append(first + text[at >= 0])
+                found.append(at[at >= 0])
+            cut = np.searchsorted(np.concatenate(owner), np.arange(len(texts) + 1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(toxic, pa.float64()),
+                 pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(np.concatenate(found), pa.int32()))],
+                names=["label", "at"])
 
     from pyspark.ml.linalg import SparseVector, VectorUDT
     n_features = len(chosen)
-    to_vector = F.udf(lambda at, value: SparseVector(n_features, sorted(zip(at, value))), VectorUDT())
-    # Stored in between: a task then runs one Python worker at a time.
-    chosen_values = scratch_table(
-        rows.mapInPandas(scaled, "label double, at array<int>, value array<double>"), "toxicity-values")
-    data = chosen_values.select("label", to_vector("at", "value").alias("features"))
+    to_vector = F.udf(lambda at: SparseVector(n_features, at, shared.value[1][at]), VectorUDT())
+    # Stored in between: a task then runs one Python worker at a time. Few
+    # parts hold the bounded sample, so that the fit's sums need no shuffle.
+    values = scratch_table(rows.mapInArrow(chosen_features, "label double, at array<int>"), "toxicity-values")
+    data = values.coalesce(FIT_PARTS).select("label", to_vector("at").alias("features"))
     model = LogisticRegression(maxIter=40, regParam=REGULARISATION, standardization=False, tol=1e-6).fit(data)
     weights = np.zeros(1 << HASH_BITS)
     weights[chosen["feature"].to_numpy()] = np.asarray(model.coefficients) * ratios
