@@ -76,8 +76,39 @@ QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_suffix_dedup, op3_secret_scan, op4_paragraph_minhash, op5_token_files, op6_piece_nbest,
     op7_weighted_fingerprints, op8_circulant_minhash, op9_exact_dedup, op10_packing)}
 
+def _secret_sql() -> str:
+    """Spans from the lengths of a rule's matches and of the text between them."""
+    def lengths(rule: secret_scan.Rule, call: str) -> str:
+        return f"list_transform({call.format(rule.pattern.replace(chr(39), chr(39) * 2))}, lambda x: length(x))"
+
+    parts = ", ".join(
+        f"{lengths(r, "regexp_extract_all(text, '{}', 0)")} AS own{k}, "
+        f"{lengths(r, "regexp_split_to_array(text, '{}')")} AS gap{k}, "
+        f"{lengths(r, f"regexp_extract_all(text, '{{}}', {r.group})")} AS kept{k}"
+        for k, r in enumerate(secret_scan.RULES))
+    start = "CAST(list_sum(gap{0}[1:i]) + coalesce(list_sum(own{0}[1:i - 1]), 0) AS BIGINT)"
+    found = ", ".join(
+        f"[{{'start': {start.format(k)}, 'rule': {k}, 'stop': {start.format(k)} + own{k}[i]}} "
+        f"FOR i IN range(1, len(own{k}) + 1) IF kept{k}[i] >= {r.least}]" for k, r in enumerate(secret_scan.RULES))
+    kinds = ", ".join(f"'{r.kind}'" for r in secret_scan.RULES)
+
+    def listed(only: str) -> str:
+        return (f"coalesce(array_to_string([([{kinds}])[s.rule + 1] || ':' || s.start || ':' || s.stop "
+                f"FOR s IN found IF {only}], ','), '')")
+
+    base = len(secret_scan.BASE)
+    counts = ", ".join(f"len([s FOR s IN found IF s.rule = {k}]) AS n_{kind}" for k, kind in enumerate(secret_scan.BASE))
+    return f"""
+        WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+        parts AS (SELECT doc_id, {parts} FROM t),
+        spans AS (SELECT doc_id, list_sort(flatten([{found}])) AS found FROM parts)
+        SELECT doc_id, {counts}, sha256({listed(f"s.rule < {base}")}) AS base_sha256, {listed("true")} AS spans
+        FROM spans"""
+
+
 #: White space, as in the contracts of the queries below.
 ORACLE: dict[str, str] = {
+    "op3_secret_scan": _secret_sql(),
     "op9_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, coalesce(text, '') AS text,
