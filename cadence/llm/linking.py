@@ -58,11 +58,10 @@ def band_components(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
     sizes = scratch_table(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
     shared = scratch_table(members.join(sizes, "bucket"), "members")
     weights = scratch_table(shared.groupBy("vid").agg(F.sum("size").alias("weight")), "weights")
-    shared = scratch_table(shared.join(weights, "vid"), "weighted")
     hubs = scratch_table(
-        shared.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("vid")).alias("neg"), "n")).alias("top"))
+        shared.join(weights, "vid").groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("vid")).alias("neg"), "n")).alias("top"))
         .select("bucket", (-F.col("top.neg")).alias("hub"), F.col("top.n").alias("hub_n")), "hubs")
-    shared = scratch_table(shared.drop("weight").join(hubs, "bucket").where("vid <> hub"), "placed")
+    shared = scratch_table(shared.join(hubs, "bucket").where("vid <> hub"), "placed")
     star = scratch_table(
         shared.where(_bounded(F.col("n"), F.col("hub_n"), percent))
         .groupBy(F.col("hub").alias("a"), F.col("vid").alias("b")).agg(F.lit(1).alias("x")), "star")
@@ -116,35 +115,29 @@ def band_components(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
     return components(known.unionByName(more))
 
 
-def _star_step(pairs: DataFrame, least_self: bool) -> DataFrame:
-    """Every pair (u, v) becomes (v, smallest neighbour of u)."""
-    low = F.min("v")
-    least = scratch_table(pairs.groupBy("u").agg((F.least("u", low) if least_self else low).alias("m")), "least")
-    moved = pairs.join(least, "u")
-    if least_self:
-        return moved.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-        least.select("u", F.col("m").alias("v")))
-
-
 def components(links: DataFrame) -> DataFrame:
     """(vid, label) of every vertex of the links (a, b): label is the smallest
     vertex of its component. Alternating large-star and small-star steps; the
     pairs are written to the shared folder each round, and the number of rounds
-    grows with the logarithm of the longest path."""
+    grows with the logarithm of the longest path. The neighbour counts that a
+    round starts with also tell whether all components are stars already: no
+    vertex has two smaller neighbours, or a smaller and a larger one."""
     pairs = scratch_table(links.where("a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    state = None
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = scratch_table(_star_step(both, True).where("u <> v").select(
-            F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "large")
-        small = _star_step(large, False)
-        pairs = scratch_table(small.where("u <> v").distinct(), "links")
-        now = pairs.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u") % 65536)).first()
-        if now == state or not now[0]:
+        around = scratch_table(both.groupBy("u").agg(
+            F.least("u", F.min("v")).alias("m"), F.count_if(F.col("v") < F.col("u")).alias("below"),
+            F.count_if(F.col("v") > F.col("u")).alias("above")), "around")
+        if around.where("below > 1 or (below = 1 and above > 0)").isEmpty():
             break
-        state = now
+        # Large star: larger neighbours move to the smallest one.
+        large = scratch_table(both.where("v > u").join(around.select("u", "m"), "u").select(
+            F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        # Small star: smaller neighbours, and the vertex itself.
+        least = scratch_table(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        moved = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        pairs = scratch_table(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
     labels = pairs.select(F.col("u").alias("vid"), F.col("v").alias("label"))
     return scratch_table(labels.unionByName(pairs.select(F.col("v").alias("vid"), F.col("v").alias("label")).distinct()),
                          "labels")
