@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cadence.llm import (exact_dedup, fingerprints, near_dedup, packing, paragraphs, pieces, secret_scan,
                          substring_dedup, suffix_sort, token_files, tokens, toxicity)
+from cadence.llm.linking import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, spans string, score string, th string"
 WORDS = "the of and to in river stone light moving under every second bright token window".split()
@@ -245,3 +246,18 @@ def test_pipeline(docs, spark):
         out = stage(spark, docs, "")
         assert (out.columns == docs.columns) == (name != "packing"), name
     assert near["near_dedup"](spark, docs, "").count() < docs.count()
+
+
+def test_components(spark):
+    rng = random.Random(5)
+    order = rng.sample(range(60), 60)
+    for pairs in (list(zip(order, order[1:])), [(0, i) for i in range(1, 60)], [],
+                  [(rng.randrange(60), rng.randrange(60)) for _ in range(40)]):
+        top = {}
+        for a, b in pairs:
+            if a != b:
+                x, y = top.get(a, a), top.get(b, b)
+                low = min(x, y)
+                top |= {v: low for v in {a, b} | {w for w, t in top.items() if t in (x, y)}}
+        found = [tuple(r) for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()]
+        assert len(found) == len(top) and dict(found) == top
