@@ -79,10 +79,13 @@ def band_components(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
         .join(tested.select(F.col("a").alias("hub"), F.col("b").alias("vid"), "jaccard"), ["hub", "vid"], "left")
         .join(hub_label, "hub", "left")
         .withColumn("in_hub", F.round(F.col("jaccard") * (F.col("n") + F.col("hub_n")) / (1 + F.col("jaccard"))))
-        .select("bucket", "vid", "n", F.coalesce("label", "vid").alias("label"), "jaccard", "in_hub",
+        .select("bucket", "hub", "vid", "n", F.coalesce("label", "vid").alias("label"), "jaccard", "in_hub",
                 (F.coalesce("label", "vid") != F.coalesce("hub_label", "hub")).alias("outside")))
     placed = scratch_table(placed, "placed")
-    some = scratch_table(sets.join(placed.select("vid").distinct(), "vid", "left_semi"), "some")
+    # With the hubs, so that every item shared with a hub counts as common and
+    # common - in_hub is what another candidate may share outside the hub's set.
+    some = placed.select("vid").unionByName(placed.select(F.col("hub").alias("vid"))).distinct()
+    some = scratch_table(sets.join(some, "vid", "left_semi"), "some")
     placed = scratch_table(
         placed.join(shared_items(some), "vid").join(items.select("vid", "bands"), "vid").where(F.col("common") * 100 >= F.col("n") * percent), "common")
     reach = 1 - percent / 100

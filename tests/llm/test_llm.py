@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cadence.llm import (exact_dedup, fingerprints, near_dedup, packing, paragraphs, pieces, secret_scan,
                          substring_dedup, suffix_sort, token_files, tokens, toxicity)
-from cadence.llm.linking import components
+from cadence.llm.linking import band_components, components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, spans string, score string, th string"
 WORDS = "the of and to in river stone light moving under every second bright token window".split()
@@ -261,3 +261,13 @@ def test_components(spark):
                 top |= {v: low for v in {a, b} | {w for w, t in top.items() if t in (x, y)}}
         found = [tuple(r) for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()]
         assert len(found) == len(top) and dict(found) == top
+
+
+def test_chain_beside_hub(spark):
+    hub = set(range(56))
+    near = hub - set(range(5)) | set(range(100, 105))
+    far = near - set(range(5, 10)) | set(range(200, 205))
+    sets = spark.createDataFrame([(v, sorted(s)) for v, s in enumerate((hub, near, far))], "vid long, items array<long>")
+    items = spark.createDataFrame([(v, 56, [1, 2]) for v in range(3)], "vid long, n int, bands array<long>")
+    found = band_components(items, lambda vids: sets.join(vids.distinct(), "vid"), 80)
+    assert {tuple(r) for r in found.collect()} == {(0, 0), (1, 0), (2, 0)}
