@@ -1,16 +1,19 @@
 """Document fingerprints by consistent weighted sampling (operator 7).
 
-A text's terms are its five-word shingles, weighted by how often they occur.
-For sample k a term x has gamma(2, 1) variates r, c and a uniform b, all
-functions of (x, k); with weight w it gets t = floor(ln w / r + b) and
+A text's terms are its five-word shingles as 64-bit hashes, weighted by how often
+they occur. For sample k a term x has gamma(2, 1) variates r, c and a uniform b,
+all functions of (x, k); with weight w it gets t = floor(ln w / r + b) and
 ln a = ln c - r * (t + 1 - b). The term with the smallest a is the sample (x, t):
 two texts agree on it with a probability equal to their generalised Jaccard
-similarity, the sum of the smaller weights over the sum of the larger. Since a
-is a function of (x, t, k), its bits name the sample; 16 bits of their hash are
-kept, so two different samples agree by chance once in 65536.
+similarity, the sum of the smaller weights over the sum of the larger. 16 bits of
+the hash of (x, t, k) are kept, so two different samples agree by chance once in
+65536.
 
-Terms are hashed to 2^17 positions, so that ln a of weight one is a table read;
-other weights are computed from the same variates.
+The variates come from three independent exponentials f, g, e: c = f + g,
+r = ln(c / f) + e and b = e / r. Since f / c is uniform and independent of c,
+r, c and b have the distributions above, and ln a = ln f - r * t. At weight one t
+is 0 and a is f, which grows with the hash of (x, k): the least hash decides, and
+only repeated terms need all variates.
 
 ``neighbours`` pairs each document with the next one in descending doc_id order
 in one range shuffle: a task streams over its sorted rows and sets aside its
@@ -26,7 +29,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,47 +40,49 @@ from cadence.llm.common import keyed_texts, scratch_table, ship_package, shuffle
 from cadence.llm.shingles import mix, numbered, shingle_lists
 
 SAMPLES = 128
-POSITION_BITS = 17
 BLOCK = 1024
 SLICE = 256
 
 
-def variates(terms: np.ndarray, samples: int = SAMPLES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """r, ln c and b of every (term, sample)."""
-    seed = mix(terms.astype(np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15) + numbered(samples, 21))
+def _hashes(terms: np.ndarray, samples: int) -> np.ndarray:
+    """The 64-bit hash of every (term, sample)."""
+    return mix(terms[:, None] ^ numbered(samples, 21))
 
-    def uniform(j: int) -> np.ndarray:
-        return ((mix(seed + numbered(5, 22)[j]) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
 
-    r = -np.log(uniform(0) * uniform(1))
-    return r, np.log(-np.log(uniform(2) * uniform(3))), uniform(4)
+def _exponential(hashes: np.ndarray) -> np.ndarray:
+    """An exponential variate that grows with the hash."""
+    return -np.log1p(-((hashes >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53)
 
 
-@lru_cache(maxsize=1)
-def _unit_weight(samples: int) -> np.ndarray:
-    """ln a of every position at weight one."""
-    out = np.empty((1 << POSITION_BITS, samples), np.float32)
-    for i in range(0, len(out), BLOCK):
-        r, ln_c, b = variates(np.arange(i, i + BLOCK), samples)
-        out[i:i + BLOCK] = ln_c - r * (1.0 - b)
-    return out
+def variates(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """r, ln f and b of every hash of a (term, sample); ln c = ln f + r * (1 - b)."""
+    seeds = numbered(2, 22)
+    f, g, e = _exponential(hashes), _exponential(mix(hashes ^ seeds[0])), _exponential(mix(hashes ^ seeds[1]))
+    r = np.log1p(g / f) + e
+    return r, np.log(f), e / r
 
 
 def sample(shingles: np.ndarray, samples: int = SAMPLES) -> np.ndarray:
     """The 16-bit codes of a text's samples."""
     if not len(shingles):
         return np.zeros(samples, np.uint16)
-    at, weight = np.unique(shingles >> np.uint64(64 - POSITION_BITS), return_counts=True)
-    single, table = at[weight == 1], _unit_weight(samples)
-    least = np.full(samples, np.inf, np.float32)
-    for i in range(0, len(single), BLOCK):
-        np.minimum(least, table[single[i:i + BLOCK]].min(axis=0), out=least)
-    many, weight = at[weight > 1], weight[weight > 1]
+    terms, weight = np.unique(shingles, return_counts=True)
+    single, many, weight = terms[weight == 1], terms[weight > 1], weight[weight > 1]
+    least, code = np.full(samples, np.inf), np.zeros(samples, np.uint64)
+    if len(single):
+        code = np.min([_hashes(single[i:i + BLOCK], samples).min(axis=0) for i in range(0, len(single), BLOCK)], axis=0)
+        least = np.log(_exponential(code))
+    column = np.arange(samples)
     for i in range(0, len(many), BLOCK):
-        r, ln_c, b = variates(many[i:i + BLOCK], samples)
+        hashes = _hashes(many[i:i + BLOCK], samples)
+        r, ln_f, b = variates(hashes)
         t = np.floor(np.log(weight[i:i + BLOCK])[:, None] / r + b)
-        np.minimum(least, (ln_c - r * (t + 1.0 - b)).astype(np.float32).min(axis=0), out=least)
-    return (mix(least.view(np.uint32).astype(np.uint64) + np.uint64(1)) >> np.uint64(48)).astype(np.uint16)
+        ln_a = ln_f - r * t
+        at = ln_a.argmin(axis=0)
+        lower = ln_a[at, column] < least
+        named = hashes[at, column] + t[at, column].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        least, code = np.where(lower, ln_a[at, column], least), np.where(lower, named, code)
+    return (mix(code + np.uint64(1)) >> np.uint64(48)).astype(np.uint16)
 
 
 def fingerprints(texts: list[str], samples: int = SAMPLES) -> list[np.ndarray]:

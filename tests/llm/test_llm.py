@@ -271,3 +271,18 @@ def test_chain_beside_hub(spark):
     items = spark.createDataFrame([(v, 56, [1, 2]) for v in range(3)], "vid long, n int, bands array<long>")
     found = band_components(items, lambda vids: sets.join(vids.distinct(), "vid"), 80)
     assert {tuple(r) for r in found.collect()} == {(0, 0), (1, 0), (2, 0)}
+
+
+def test_fingerprints_of_long_texts():
+    def words(numbers):
+        return " ".join(f"w{i}" for i in numbers)
+
+    n = 60000
+    texts = [words(range(n)), words(range(n, 2 * n)), words([*range(2 * n // 3), *range(n, n + n // 3)]),
+             words([*range(300)] * 3 + [*range(1000, 1300)]), words([*range(300)] * 2 + [*range(2000, 2200)] * 4)]
+    counts = [collections.Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4)) for w in (t.split(" ") for t in texts)]
+    marks = fingerprints.fingerprints(texts, 512)
+    for i in range(len(texts)):
+        for j in range(i):
+            true = (counts[i] & counts[j]).total() / (counts[i] | counts[j]).total()
+            assert abs(fingerprints.likeness(marks[i], marks[j]) - true) < max(0.01, 0.09 * (true > 0)), (i, j)
