@@ -1,24 +1,37 @@
 """Substring dedup by paragraph MinHash banding (operator 4).
 
-A text's paragraphs are its lines; those of at least ``MIN_WORDS`` words take
-part. A MinHash of independent hash functions over five-word shingles is cut
-into bands tuned for recall: with ``rows`` coordinates a band, ``tune_bands``
-gives as many bands as keep the chance of missing a pair at the threshold below
-``miss``. Paragraphs that share a band are confirmed by the exact Jaccard
-similarity of their shingle sets (``linking``), linked paragraphs form
-components, and of each component the first occurrence stays (smallest doc_id,
-then place in the text).
-
-Defined cases: a NULL text counts as empty and has no paragraph; shorter lines
-are never removed; NULL doc_ids come after all others; rows sharing a doc_id are
-told apart by their texts, and repeated rows are occurrences of their own, with
-equal results; an empty table gives an empty result; other columns pass through
-``drop_paragraphs``.
+A text's paragraphs are its lines and the passages of every line: a line is cut
+after sentence ends, unless one of the four words before ends a sentence too, and
+a passage of over ``LONG`` words also after pairs of words chosen by their hash.
+Cuts depend on the words next to them only, so that a passage planted into other
+text is cut as it is elsewhere. Consecutive lines of one to four words, also with
+lines without words in between, are one paragraph. What has fewer than five words
+then has no shingle of five words and is none: lines of one to four words beside
+longer ones, and such ends of lines.
+
+Paragraphs are compared by their sets of five-word shingles. Equal sets are one
+class. Sets of at most ``SMALL`` shingles meet in their prefixes: two sets with a
+similarity of ``percent`` share one of their n - ceil(n * percent / 100) + 1 least
+shingles, so no pair is missed. For larger ones a MinHash of independent hash
+functions is cut into bands tuned for recall: with ``rows`` coordinates a band,
+``tune_bands`` gives as many bands as keep the chance of missing a pair at the
+threshold below ``miss``. Paragraphs that meet are confirmed by the exact Jaccard
+similarity of their sets (``linking``), linked paragraphs form components, and of
+each component the first occurrence stays: whole lines come before passages of
+lines, then the smallest doc_id, then the place in the text. Passages of a line
+that goes are no occurrences, since they go with it.
+
+Defined cases: a NULL text counts as empty and has no paragraph; NULL doc_ids come
+after all others; rows sharing a doc_id are told apart by their texts, and repeated
+rows are occurrences of their own, with equal results; an empty table gives an
+empty result; other columns pass through ``drop_paragraphs``.
 """
 
 from __future__ import annotations
 
 import math
+import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,14 +42,16 @@ from pyspark.sql import functions as F
 from cadence.llm.bloom import maybe_in
 from cadence.llm.common import fresh, keyed_texts, scratch_table, ship_package, whole_text
 from cadence.llm.linking import band_components
-from cadence.llm.near_dedup import band_hashes, shingle_rows
-from cadence.llm.shingles import mix, numbered, set_key, shingle_sets
+from cadence.llm.near_dedup import band_hashes
+from cadence.llm.shingles import WORDS, mix, numbered, set_key, shingle_sets
 
-MIN_WORDS = 20
+LONG = 64
+SMALL = 50
 PERCENT = 80
 ROWS = 3
 MISS = 1e-5
 SLICE = 256
+_PREFIX = numbered(1, 42)
 
 
 def tune_bands(percent: int = PERCENT, rows: int = ROWS, miss: float = MISS) -> int:
@@ -53,20 +68,73 @@ def minhash(shingles: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     return out
 
 
-def lines(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
-    """(number, start, stop) in code points of every long enough line."""
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_END = re.compile(r"""[.!?…。！？]['")\]”’»」』.!?…]*$""")
+_SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
+
+
+def passages(line: str) -> tuple[int, list[tuple[int, int]]]:
+    """The number of words, and (start, stop) of the passages of a line."""
+    words = [(m.start(), m.end(), m[0]) for m in _WORD.finditer(line)]
+    out, first, ended = [], 0, -1
+    for i, (_, stop, word) in enumerate(words):
+        ends = _END.search(word) is not None
+        if i + 1 == len(words) or (ends and i - ended >= WORDS):
+            cuts = [i]
+            if i - first >= LONG:
+                cuts = [j for j in range(first + 1, i)
+                        if zlib.crc32(f"{words[j - 1][2]} {words[j][2]}".encode("utf-8", "surrogatepass")) % 16 == 0] + cuts
+            for j in cuts:
+                if j - first >= WORDS - 1:
+                    out.append((words[first][0], words[j][1]))
+                first = j + 1
+        if ends:
+            ended = i
+    return len(words), out
+
+
+def units(text: str) -> list[tuple[int, int, int, bool]]:
+    """(line number, start, stop, passage) in code points of every paragraph."""
     out, at = [], 0
+    run, run_words = None, 0  # lines of fewer than WORDS words since a longer one
     for number, line in enumerate(text.split("\n")):
-        if len(line) >= 2 * min_words - 1 and len(line.encode("utf-8", "surrogatepass").split()) >= min_words:
-            out.append((number, at, at + len(line)))
-        at += len(line) + 1
+        n, parts = passages(line)
+        stop = at + len(line)
+        if 0 < n < WORDS:
+            run, run_words = (*(run[:2] if run else (number, at)), stop, False), run_words + n
+        elif n:
+            if run_words >= WORDS:
+                out.append(run)
+            run, run_words = None, 0
+            out.append((number, at, stop, False))
+            if len(parts) > 1 or any(b - a < len(line.strip(_SPACES)) for a, b in parts):
+                out += [(number, at + a, at + b, True) for a, b in parts]
+        at = stop + 1
+    if run_words >= WORDS:
+        out.append(run)
     return out
 
 
-def paragraph_rows(texts: DataFrame, bands: int, rows: int, min_words: int) -> DataFrame:
+def buckets(shingles: np.ndarray, seeds: np.ndarray, bands: int, rows: int, percent: int) -> np.ndarray:
+    """The buckets of a sorted set. None, if only an equal set is similar enough;
+    sets of up to 100 / percent times SMALL that may link to a larger one have
+    both kinds."""
+    n = len(shingles)
+    if n * (100 - percent) < percent:
+        return np.empty(0, np.int64)
+    found = []
+    if n <= SMALL:
+        found.append(mix(shingles[:n - -(-n * percent // 100) + 1] ^ _PREFIX).view(np.int64))
+    if n * 100 >= SMALL * percent:
+        found.append(band_hashes(minhash(shingles, seeds), bands, rows))
+    return np.concatenate(found)
+
+
+def paragraph_rows(texts: DataFrame, bands: int, rows: int, percent: int) -> DataFrame:
     """One row per paragraph of (doc_id, text_hash, text)."""
-    schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "text_hash", "paragraph", "start", "stop", "n", "key_a",
-                                                  "key_b")] + [("bands", pa.list_(pa.int64()))])
+    schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "text_hash", "paragraph", "start", "stop")]
+                       + [("passage", pa.bool_())] + [(n, pa.int64()) for n in ("n", "key_a", "key_b")]
+                       + [("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = numbered(bands * rows, 41)
@@ -74,33 +142,33 @@ def paragraph_rows(texts: DataFrame, bands: int, rows: int, min_words: int) -> D
             for i in range(0, whole.num_rows, SLICE):
                 out, parts = [], []
                 for doc_id, text_hash, text in zip(*(c.to_pylist() for c in whole.slice(i, SLICE).columns)):
-                    for number, start, stop in lines(text, min_words):
-                        out.append((doc_id, text_hash, number, start, stop))
-                        parts.append(text[start:stop])
+                    for unit in units(text):
+                        out.append((doc_id, text_hash, *unit))
+                        parts.append(text[unit[1]:unit[2]])
                 if not out:
                     continue
                 sets = list(shingle_sets(parts))
                 keys = [set_key(s) for s in sets]
-                buckets = [band_hashes(minhash(s, seeds), bands, rows) for s in sets]
-                columns = [pa.array(c, pa.int64()) for c in zip(*out)]
-                columns += [pa.array([len(s) for s in sets], pa.int64()), pa.array([k[0] for k in keys], pa.int64()),
-                            pa.array([k[1] for k in keys], pa.int64()), pa.array(buckets, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+                found = [buckets(s, seeds, bands, rows, percent) for s in sets]
+                columns = [*zip(*out), [len(s) for s in sets], *zip(*keys), found]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    return texts.mapInArrow(run, "doc_id long, text_hash long, paragraph long, start long, stop long, n long, "
-                                 "key_a long, key_b long, bands array<long>")
+    return texts.mapInArrow(run, "doc_id long, text_hash long, paragraph long, start long, stop long, passage boolean, "
+                                 "n long, key_a long, key_b long, bands array<long>")
 
 
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
-                        rows: int = ROWS, miss: float = MISS, min_words: int = MIN_WORDS) -> DataFrame:
+                        rows: int = ROWS, miss: float = MISS) -> DataFrame:
     """One row per paragraph that has a near copy elsewhere: doc_id, text_hash,
     paragraph (line number), start, stop (code points), first_doc_id,
-    first_paragraph (of the occurrence that stays), occurrences, kept."""
+    first_paragraph (of the occurrence that stays), occurrences, kept, passage
+    (whether it is a part of its line), first_start (of the one that stays)."""
     ship_package(docs.sparkSession)
     bands = tune_bands(percent, rows, miss)
     texts = keyed_texts(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    listed = scratch_table(paragraph_rows(texts, bands, rows, min_words), "paragraphs")
-    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "paragraph", "text_hash")
+    listed = scratch_table(paragraph_rows(texts, bands, rows, percent), "paragraphs")
+    place = F.struct("passage", F.col("doc_id").isNull().alias("unknown"), "doc_id", "paragraph", "start", "stop",
+                     "text_hash")
     classes = scratch_table(
         listed.groupBy("key_a", "key_b")
         .agg(F.count(F.lit(1)).alias("size"), F.first("n").alias("n"), F.first("bands").alias("bands"),
@@ -111,27 +179,69 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         wanted = scratch_table(
             classes.join(vids, "vid")
             .groupBy(F.col("one.doc_id").alias("w_id"), F.col("one.text_hash").alias("w_hash"))
-            .agg(F.collect_list(F.struct("vid", F.col("one.paragraph").alias("number"))).alias("wanted")), "wanted")
+            .agg(F.collect_list(F.struct("vid", F.col("one.start").alias("start"), F.col("one.stop").alias("stop")))
+                 .alias("wanted")), "wanted")
         holders = texts.where(maybe_in(wanted.select("w_hash"))("text_hash")).join(
             wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")))
-        parts = F.split("text", "\n", -1)
-        return shingle_rows(holders.select(parts.alias("parts"), F.explode("wanted").alias("w")).select(
-            "w.vid", F.get("parts", F.col("w.number").cast("int")).alias("text")))
+        # Rows repeated in the input hold the same sets.
+        holders = holders.groupBy("w_id", "w_hash").agg(F.first("text").alias("text"), F.first("wanted").alias("wanted"))
+        return unit_sets(holders.select("text", "wanted.vid", "wanted.start", "wanted.stop"))
 
     labels = band_components(classes.select("vid", "n", "bands"), sets_of, percent)
-    labelled = scratch_table(
-        classes.select("vid", "key_a", "key_b", "size", "one").join(labels, "vid", "left")
+    named = scratch_table(
+        classes.select("vid", "key_a", "key_b", "size").join(labels, "vid", "left")
         .where(F.col("label").isNotNull() | (F.col("size") > 1))
-        .select("key_a", "key_b", "size", "one", F.coalesce("label", "vid").alias("label")), "labelled")
-    first = scratch_table(labelled.groupBy("label").agg(
-        F.min("one").alias("first"), F.sum("size").alias("occurrences")), "first")
-    named = scratch_table(labelled.join(first, "label").select("key_a", "key_b", "first", "occurrences"), "named")
-    found = listed.drop("bands", "n").join(named, ["key_a", "key_b"])
-    return found.select(
+        .select("key_a", "key_b", F.coalesce("label", "vid").alias("label")), "named")
+    found = scratch_table(listed.drop("bands", "n").join(named, ["key_a", "key_b"]).drop("key_a", "key_b"), "found")
+    lines = found.where("not passage")
+    line_first = scratch_table(lines.groupBy("label").agg(F.min(place).alias("first")), "line-first")
+    gone = scratch_table(
+        lines.join(line_first, "label").where(place != F.col("first"))
+        .select(F.col("doc_id").alias("g_id"), F.col("text_hash").alias("g_hash"), F.col("paragraph").alias("g_line"))
+        .distinct(), "gone-lines")
+    left = scratch_table(lines.unionByName(found.where("passage").join(
+        gone, F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("text_hash") == F.col("g_hash"))
+        & (F.col("paragraph") == F.col("g_line")), "left_anti")), "occurrences")
+    first = scratch_table(
+        left.groupBy("label").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("occurrences"))
+        .where("occurrences > 1"), "first")
+    return left.join(first, "label").select(
         "doc_id", "text_hash", "paragraph", "start", "stop", F.col("first.doc_id").alias("first_doc_id"),
         F.col("first.paragraph").alias("first_paragraph"), "occurrences",
-        (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("paragraph") == F.col("first.paragraph"))
-         & (F.col("text_hash") == F.col("first.text_hash"))).alias("kept"))
+        place.eqNullSafe(F.col("first")).alias("kept"), "passage", F.col("first.start").alias("first_start"))
+
+
+def unit_sets(units: DataFrame) -> DataFrame:
+    """(vid, items) of the parts of (text, vid, start, stop), the last three
+    arrays."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                text, vids, starts, stops = (c[i].as_py() for c in batch.columns)
+                sets = [s.view(np.int64) for s in shingle_sets([text[a:b] for a, b in zip(starts, stops)])]
+                yield pa.RecordBatch.from_arrays([pa.array(vids, pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
+                                                 names=["vid", "items"])
+
+    return units.mapInArrow(run, "vid long, items array<long>")
+
+
+def cut_out(text: str, gone: list) -> str:
+    """``text`` without the lines and passages (start, stop) in ``gone``; a line
+    of which no word is left goes too."""
+    spans, out, at, k = sorted((g[0], g[1]) for g in gone), [], 0, 0
+    for line in text.split("\n"):
+        stop, rest, begin, hit = at + len(line), "", at, False
+        while k < len(spans) and spans[k][0] <= stop:
+            rest += text[begin:max(begin, spans[k][0])]
+            begin, hit = min(max(begin, spans[k][1]), stop), True
+            if spans[k][1] > stop:
+                break
+            k += 1
+        rest += text[begin:stop]
+        if not hit or rest.strip(_SPACES):
+            out.append(rest)
+        at = stop + 1
+    return "\n".join(out)
 
 
 def drop_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -139,12 +249,11 @@ def drop_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are kept."""
     gone = scratch_table(
         repeated_paragraphs(docs, id_col, text_col, **options).where(~F.col("kept"))
-        .groupBy("doc_id", "text_hash").agg(F.collect_set("paragraph").alias("gone")), "gone")
-    th, g_id, g_hash, numbers = fresh(docs, "th", "g_id", "g_hash", "numbers")
+        .groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "stop")).alias("gone")), "gone")
+    th, g_id, g_hash, spans = fresh(docs, "th", "g_id", "g_hash", "spans")
     joined = docs.withColumn(th, F.xxhash64(whole_text(text_col))).join(
-        gone.select(F.col("doc_id").alias(g_id), F.col("text_hash").alias(g_hash), F.col("gone").alias(numbers)),
+        gone.select(F.col("doc_id").alias(g_id), F.col("text_hash").alias(g_hash), F.col("gone").alias(spans)),
         F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col(g_id)) & (F.col(th) == F.col(g_hash)), "left")
-    left = F.filter(F.split(whole_text(text_col), "\n", -1),
-                    lambda x, i: ~F.array_contains(F.col(numbers), i.cast("bigint")))
-    return joined.withColumn(text_col, F.when(F.col(numbers).isNull(), F.col(f"`{text_col}`"))
-                             .otherwise(F.array_join(left, "\n"))).select(*(f"`{c}`" for c in docs.columns))
+    left = F.udf(lambda text, gone: text if gone is None else cut_out(text, gone), "string")
+    return joined.withColumn(text_col, F.when(F.col(spans).isNull(), F.col(f"`{text_col}`")).otherwise(
+        left(whole_text(text_col), F.col(spans)))).select(*(f"`{c}`" for c in docs.columns))

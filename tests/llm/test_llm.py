@@ -286,3 +286,33 @@ def test_fingerprints_of_long_texts():
         for j in range(i):
             true = (counts[i] & counts[j]).total() / (counts[i] | counts[j]).total()
             assert abs(fingerprints.likeness(marks[i], marks[j]) - true) < max(0.01, 0.09 * (true > 0)), (i, j)
+
+
+def test_short_lines_and_planted_passages(spark):
+    def sentences(name, n):
+        return " ".join(" ".join(f"{name}{k}w{i}" for i in range(12)) + "." for k in range(n))
+
+    short, planted = "five words of short line", sentences("p", 5)
+    poem = "three short words\n\nof a poem\nby no one"
+    texts = [f"{sentences('a', 9)} {planted} {sentences('b', 9)}\n{short}", f"{short}\n{sentences('c', 6)} {planted}",
+             f"{sentences('d', 2)}\nten words of another short line with no sentence end", "ten words of another short line with no sentence end here",
+             f"{poem}\n{sentences('e', 2)}", f"{sentences('f', 2)}\n{poem}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = [(i, texts[i].index(poem), texts[i].index(poem) + len(poem), False) for i in (4, 5)]
+    for i, text in enumerate(texts):
+        for j, line in enumerate(text.split("\n")):
+            at = sum(len(x) + 1 for x in text.split("\n")[:j])
+            parts = [(m.start(), m.end()) for m in re.finditer(r"\S[^.]*\.", line)]
+            if len(line.split()) >= 5:
+                want += [(i, at, at + len(line), False)] + [(i, at + a, at + b, True) for a, b in parts if len(parts) > 1]
+    sets = [_shingles(texts[i][a:b]) for i, a, b, _ in want]
+    near = [[len(x & y) * 100 >= len(x | y) * 80 for y in sets] for x in sets]
+    group = [min(k for k in range(len(sets)) if row[k]) for row in near]
+    size = collections.Counter(group)
+    got = paragraphs.repeated_paragraphs(docs).collect()
+    assert {(r.doc_id, r.start, r.stop, r.passage, r.occurrences, r.kept) for r in got} == {
+        (*u, size[g], g == k) for k, (u, g) in enumerate(zip(want, group)) if size[g] > 1}
+    left = {r.doc_id: r.text for r in paragraphs.drop_paragraphs(docs).collect()}
+    assert left[0] == texts[0] and left[1].rstrip() == sentences("c", 6) and left[2] == sentences("d", 2) + "\n" + \
+        texts[2].split("\n")[1] and left[3] == ""
+    assert left[4] == texts[4] and left[5] == sentences("f", 2)
