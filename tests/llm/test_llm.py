@@ -316,3 +316,22 @@ def test_short_lines_and_planted_passages(spark):
     assert left[0] == texts[0] and left[1].rstrip() == sentences("c", 6) and left[2] == sentences("d", 2) + "\n" + \
         texts[2].split("\n")[1] and left[3] == ""
     assert left[4] == texts[4] and left[5] == sentences("f", 2)
+
+
+def test_likeness_columns(spark):
+    texts = [" ".join(f"w{i % 700 if k == 2 else i}" for i in range(1000 * k, 1000 * k + 3000)) for k in range(4)]
+    found = fingerprints.neighbours(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), partitions=2)
+
+    def counts(text):
+        w = text.split(" ")
+        return collections.Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4))
+
+    def true(a, b):
+        return (counts(a) & counts(b)).total() / (counts(a) | counts(b)).total()
+
+    rows = found.collect()
+    assert len(rows) == 4
+    for r in rows:
+        text, following = texts[r.doc_id], texts[(r.doc_id - 1) % 4]
+        assert abs(r.near_next - true(text, following)) < 0.13
+        assert abs(r.near_edited - true(text, fingerprints.edited(text, following))) < 0.13
