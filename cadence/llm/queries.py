@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import (exact_dedup, fingerprints, near_dedup, packing, paragraphs, pieces, secret_scan,
+from cadence.llm import (conversation_repair, exact_dedup, fingerprints, near_dedup, packing, paragraphs, pieces, secret_scan,
                          substring_dedup, token_files, toxicity)
 from cadence.llm.common import documents
 
@@ -72,9 +72,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    decisions, _ = conversation_repair.repair(conversation_repair.damage(conversations))
+    return conversation_repair.with_missing(conversations, decisions)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_suffix_dedup, op3_secret_scan, op4_paragraph_minhash, op5_token_files, op6_piece_nbest,
-    op7_weighted_fingerprints, op8_circulant_minhash, op9_exact_dedup, op10_packing)}
+    op7_weighted_fingerprints, op8_circulant_minhash, op9_exact_dedup, op10_packing, op11_conversation_repair)}
 
 def _secret_sql() -> str:
     """Spans from the lengths of a rule's matches and of the text between them."""
