@@ -7,8 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import (conversation_repair, exact_dedup, fingerprints, near_dedup, packing, paragraphs, pieces, secret_scan,
-                         substring_dedup, token_files, toxicity)
+from cadence.llm import (conversation_repair, exact_dedup, fingerprints, near_dedup, packing, paragraphs, pieces,
+                         ring_sharding, secret_scan, spelling, substring_dedup, token_files, toxicity)
 from cadence.llm.common import documents
 
 
@@ -78,9 +78,20 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.with_missing(conversations, decisions)
 
 
+def op12_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ring_sharding.assign(documents(spark, sf_dir)).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "home_shard")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_suffix_dedup, op3_secret_scan, op4_paragraph_minhash, op5_token_files, op6_piece_nbest,
-    op7_weighted_fingerprints, op8_circulant_minhash, op9_exact_dedup, op10_packing, op11_conversation_repair)}
+    op7_weighted_fingerprints, op8_circulant_minhash, op9_exact_dedup, op10_packing, op11_conversation_repair,
+    op12_ring_sharding, op13_spelling_variants)}
 
 def _secret_sql() -> str:
     """Spans from the lengths of a rule's matches and of the text between them."""
