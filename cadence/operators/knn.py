@@ -1,41 +1,28 @@
 """Exact top-k cosine neighbours for a whole table of queries (J6, T1, R1,
-R2, R4, R10) that never emits query x item pairs as rows.
-
-Two paths: the blocked path (default, at the end of this module) pairs
-bounded blocks of queries and items and keeps only top candidates per
-query; the grid path below is the fallback when the packed items are too
-large to broadcast.
-
-Grid path: vectors are projected to the unit sphere, where cosine order is distance
-order: ``|u - v|^2 = 2 - 2 cos``. Items are placed in a grid cell over ``g``
-coordinates of width ``r``; a query is joined (equi-join on the cell) only to
-the 3^g cells around its own, which contain every item within distance ``r``.
-A query with at least ``k`` candidates whose similarity is ``>= 1 - r^2/2``
-has its exact top-k: every item outside the ball scores below that bound.
-Queries without enough such candidates go to the next round with ``2r``; the
-last round uses ``r = 2``, whose cells cover the whole sphere, so every query
-is answered exactly and nothing is capped. Each round keeps only ``k`` rows
-per query (``row_number`` gets a partial WindowGroupLimit before the
-shuffle) and is written to the checkpoint folder before the next starts.
-
-A cell holding a large share of the items is split across tasks by AQE's
-skew-join handling; the similarity threshold is applied inside the join
-stage, so only candidates that can still rank are shuffled.
+R2, R4, R10).
+
+Items are ordered by their nearest pivot (a few items drawn by hash) and by the
+angle to it, and cut into blocks. Angles obey the triangle inequality: an item whose
+angle to a pivot differs by more than ``phi`` from the query's is further than
+``phi`` from the query. Once a query knows k items within ``phi``, only blocks whose
+range of angles meets ``[angle - phi, angle + phi]`` are left, and all other pairs
+of blocks are skipped (``topk`` does the rest). There is one path for every size.
 """
 
 from __future__ import annotations
 
-import itertools
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadence.functions.vectors import dot
-from cadence.session import cut_lineage
-
+from cadence.operators.topk import ITEM_BLOCK, Packed, block_topk, complete, pack, query_block
 
-WIDE = 8  # above this many components vectors stay ARRAY<DOUBLE>
+#: Vectors with more components are held as an array column.
+WIDE = 8
+MAX_PIVOTS = 1024
+#: Item blocks that a query block meets first.
+SEEDS = 4
+_SLACK = 1e-6  # angles of nearly equal vectors are exact to about 1e-8
+_ZERO_GROUP = -1
 
 
 def vector_columns(dim: int, prefix: str = "v") -> list[str]:
@@ -60,268 +47,135 @@ def as_array_frame(df: DataFrame, key: str, array_col: str,
                      F.transform(F.col(array_col), lambda x: x.cast("double")).alias("v"))
 
 
-class _Vec:
-    """Arithmetic over one vector held either as columns or as an array."""
-
-    def __init__(self, prefix: str, dim: int):
-        self.prefix, self.dim, self.wide = prefix, dim, dim > WIDE
-
-    def cols(self) -> list[str]:
-        return vector_columns(self.dim, self.prefix)
-
-    def item(self, i: int) -> Column:
-        return F.col(self.prefix)[i] if self.wide else F.col(f"{self.prefix}{i}")
-
-    def dot(self, other: "_Vec") -> Column:
-        if self.wide:
-            return F.aggregate(F.zip_with(F.col(self.prefix), F.col(other.prefix),
-                                          lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
-        return dot([self.item(i) for i in range(self.dim)], [other.item(i) for i in range(self.dim)])
-
-    def norm(self) -> Column:
-        return F.sqrt(self.dot(self))
-
-    def cosine(self, other: "_Vec", eps: float) -> Column:
-        den = self.norm() * other.norm()
-        if eps:
-            return self.dot(other) / (den + F.lit(float(eps)))
-        return F.when(den == 0, F.lit(0.0)).otherwise(self.dot(other) / den)
-
-    def rename(self, df_cols: list[str], new_prefix: str) -> list[Column]:
-        return [F.col(c).alias(new_prefix + c[len(self.prefix):]) for c in self.cols()]
-
-
-def _unit(df: DataFrame, dim: int) -> DataFrame:
-    """Add ``_norm`` and the unit vector's grid coordinates source ``u``."""
-    v = _Vec("v", dim)
-    df = df.withColumn("_norm", v.norm())
-    if v.wide:
-        return df.withColumn("u", F.transform(F.col("v"), lambda x: F.when(
-            F.col("_norm") > 0, x / F.col("_norm")).otherwise(F.lit(0.0))))
-    return df.withColumns({f"u{i}": F.when(F.col("_norm") > 0, F.col(f"v{i}") / F.col("_norm"))
-                           .otherwise(F.lit(0.0)) for i in range(dim)})
-
-
-def _grid_dims(items_u: DataFrame, dim: int, g: int) -> tuple[list[int], float, int]:
-    """The ``g`` unit coordinates with the largest spread, the total spread
-    and the item count: a small aggregate per coordinate (dim rows)."""
-    u = _Vec("u", dim)
-    live = items_u.where(F.col("_norm") > 0)
-    if u.wide:
-        per = live.select(F.posexplode("u").alias("i", "x")).groupBy("i").agg(
-            F.var_pop("x").alias("s")).collect()
-        spread = [(r["s"] or 0.0, int(r["i"])) for r in per]
-        n = live.count()
-    else:
-        row = live.agg(*[F.var_pop(f"u{i}").alias(f"s{i}") for i in range(dim)],
-                       F.count(F.lit(1)).alias("n")).first()
-        spread = [(row[f"s{i}"] or 0.0, i) for i in range(dim)]
-        n = int(row["n"] or 0)
-    dims = [i for _, i in sorted(spread, key=lambda t: (-t[0], t[1]))[:g]]
-    total = math.sqrt(sum(s for s, _ in spread))
-    return dims, total, n
+def _vectors(df: DataFrame, key: str, dim: int, self_key: str | None = None) -> DataFrame:
+    """(key, self, v): the complete vectors of ``df``."""
+    v = F.col("v") if dim > WIDE else F.array(*[F.col(c) for c in vector_columns(dim)])
+    own = F.col(self_key) if self_key else F.lit(None).cast(df.schema[key].dataType)
+    rows = df.select(F.col(key).alias("key"), own.alias("self"), v.cast("array<double>").alias("v"))
+    return rows.where(F.col("key").isNotNull() & complete(F.col("v")) & (F.size("v") == dim))
+
+
+def _zero() -> Column:
+    return ~F.exists("v", lambda x: x != 0)
+
+
+def _pivots(items: DataFrame, n: int, dim: int):
+    """Unit vectors of at most MAX_PIVOTS items drawn by hash, on the driver."""
+    import numpy as np
+    size = min(MAX_PIVOTS, max(1, -(-n // ITEM_BLOCK)))
+    drawn = items.where(~_zero()).orderBy(F.xxhash64("key"), "key").limit(size).select("v").collect()
+    v = np.array([r["v"] for r in drawn], dtype=np.float64).reshape(len(drawn), dim)
+    v = v / np.abs(v).max(axis=1, keepdims=True) if len(drawn) else v
+    return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
+
+
+def _angles(pivots):
+    """Function to the angles of vectors (rows) to all pivots."""
+    def angles(v):
+        import numpy as np
+        v = v / np.maximum(np.abs(v).max(axis=1, keepdims=True), 1e-300)
+        norm = np.sqrt((v * v).sum(axis=1, keepdims=True))
+        return np.arccos(np.clip(v / np.where(norm == 0, 1, norm) @ pivots.T, -1, 1))
+    return angles
+
+
+def _grouped(df: DataFrame, pivots, dim: int) -> DataFrame:
+    """``df`` with grp, the nearest pivot (zero vectors: a group of their own),
+    and at, the angle to it."""
+    angles, zero_group = _angles(pivots), _ZERO_GROUP
+
+    def assign(batches):
+        import numpy as np
+        import pyarrow as pa
+        for batch in batches:
+            v = batch.column(2).flatten().to_numpy().reshape(batch.num_rows, dim)
+            grp, at = np.full(len(v), zero_group), np.zeros(len(v))
+            if len(pivots) and len(v):
+                found = angles(v)
+                live = (v != 0).any(axis=1)
+                grp = np.where(live, found.argmin(axis=1), zero_group)
+                at = np.where(live, found.min(axis=1), 0.0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(grp, pa.int64()), pa.array(at)],
+                                             names=[*batch.schema.names, "grp", "at"])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return df.mapInArrow(assign, f"{kinds}, grp bigint, at double")
+
+
+def _reach(queries: Packed, pivots, dim: int, eps: float, taus: DataFrame | None) -> DataFrame:
+    """(qb, grp, low, high): the angles to each pivot at which items can still
+    enter the top k of a query of the block; without ``taus`` the block's own
+    range at its SEEDS nearest pivots."""
+    angles, nearest, slack, zero_group = _angles(pivots), SEEDS, _SLACK, _ZERO_GROUP
+
+    def windows(batches):
+        import numpy as np
+        import pyarrow as pa
+        for batch in batches:
+            for i in range(batch.num_rows):
+                qb = batch.column(0)[i].as_py()
+                nums = batch.column(1)[i].values.to_numpy()
+                v = batch.column(2)[i].values.to_numpy().reshape(len(nums), dim)
+                live = (v != 0).any(axis=1)
+                found = angles(v) if len(pivots) else np.empty((len(v), 0))
+                found = np.where(live[:, None], found, 0.0)
+                if batch.num_columns == 3:
+                    grp = np.argsort(found.min(axis=0), kind="stable")[:nearest]
+                    low, high = found.min(axis=0)[grp], found.max(axis=0)[grp]
+                    zero = not len(pivots) or not live.all()
+                else:
+                    tau = np.full(len(nums), -np.inf)
+                    if batch.column(3)[i].is_valid:
+                        order = np.argsort(nums)
+                        at = order[np.searchsorted(nums, batch.column(3)[i].values.to_numpy(), sorter=order)]
+                        tau[at] = batch.column(4)[i].values.to_numpy()
+                    phi = np.arccos(np.clip(tau, -1, 1)) + slack
+                    # an eps pulls negative scores up, so it says nothing about the angle; all scores of a zero query are 0
+                    phi = np.where(~live | (np.isneginf(tau)) | ((tau <= 0) & (eps > 0)), np.pi + slack, phi)
+                    low, high = (found - phi[:, None]).min(axis=0), (found + phi[:, None]).max(axis=0)
+                    grp = np.arange(len(pivots))
+                    zero = bool((tau <= 0).any())
+                if zero:
+                    grp, low, high = np.append(grp, zero_group), np.append(low, 0.0), np.append(high, 0.0)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([qb] * len(grp), pa.int64()), pa.array(grp, pa.int64()), pa.array(low), pa.array(high)],
+                    names=["qb", "grp", "low", "high"])
+
+    blocks = queries.blocks.select(F.col("block").alias("qb"), "nums", "vecs")
+    if taus is not None:
+        blocks = blocks.join(taus, "qb", "left").select("qb", "nums", "vecs", "tau_nums", "taus")
+    return blocks.mapInArrow(windows, "qb bigint, grp bigint, low double, high double")
 
 
 def cosine_topk(queries: DataFrame, items: DataFrame, k: int, dim: int, *,
                 query_key: str = "query_id", item_key: str = "track_idx",
                 self_key: str | None = None, exclude: DataFrame | None = None,
-                eps: float = 0.0, grid_dims: int = 2,
-                start_radius: float | None = None, method: str = "auto") -> DataFrame:
+                eps: float = 0.0) -> DataFrame:
     """Exact top-``k`` items per query by cosine similarity.
 
-    ``queries``: (query_key, [self_key], v0..v{dim-1}); ``items``:
-    (item_key, v0..v{dim-1}). ``self_key`` names the query's own item, which is
-    never returned; ``exclude`` holds (query_key, item_key) pairs removed
-    before ranking. Similarity is ``dot / (|a||b| + eps)``; with ``eps = 0`` a
-    zero vector scores 0. Order: similarity desc, item_key asc.
-    ``method``: "blocked" (matrix products over bounded blocks, see below),
-    "grid" (radius rounds), or "auto" = blocked while the packed items stay
-    under ``MAX_ITEM_BYTES``, else grid.
+    ``queries``: (query_key, [self_key], vector); ``items``: (item_key, vector), as
+    ``as_vector_frame`` gives them. ``self_key`` names the query's own item, which
+    is never returned; ``exclude`` holds (query_key, item_key) pairs that do
+    not count. Similarity is ``dot / (|a||b| + eps)``; with ``eps = 0`` a zero
+    vector scores 0. Order: similarity desc, item_key asc. Queries with NULL or NaN
+    components have no rows, such items are no neighbours.
     Returns (query_key, rank, item_key, similarity).
     """
-    g = max(1, min(grid_dims, dim))
-    if self_key == query_key:
-        queries = queries.withColumn("_self", F.col(query_key))
-        self_key = "_self"
-    if method in ("auto", "blocked"):
-        n = items.count()
-        if method == "blocked" or n * (8 * dim + 16) <= MAX_ITEM_BYTES:
-            return _cosine_topk_blocked(queries, items, k, dim, query_key, item_key, self_key,
-                                        exclude, eps, n)
-    qv, iv, qu, iu = _Vec("v", dim), _Vec("w", dim), _Vec("u", dim), _Vec("x", dim)
-    q = _unit(queries.select(query_key, *([self_key] if self_key else []), *qv.cols()), dim)
-    it = _unit(items.select(F.col(item_key).alias("_item"), *qv.cols()), dim)
-    it = it.select("_item", "_norm", *qv.rename(it.columns, "w"), *qu.rename(it.columns, "x"))
-    dims, spread, n_items = _grid_dims(
-        it.select("_norm", *iu.rename(it.columns, "u")), dim, g)
-    if start_radius is None:
-        d_eff = max(1, min(dim - 1, 8))
-        frac = min(1.0, (2.0 * k) / max(1, n_items))
-        start_radius = max(1e-3, 2.0 * max(spread, 1e-3) * frac ** (1.0 / d_eff))
-    radii = []
-    r = start_radius
-    while r < math.sqrt(2.0):
-        radii.append(r)
-        r *= 2.0
-    radii.append(2.0)
-
-    sim = qv.cosine(iv, eps)
-    order = Window.partitionBy(query_key).orderBy(F.col("similarity").desc(), F.col("_item").asc())
-    offsets = list(itertools.product((-1, 0, 1), repeat=g))
-
-    done: list[DataFrame] = []
-    pending = q
-    for rnd, r in enumerate(radii):
-        final = rnd == len(radii) - 1
-        w = r * (1.0 + 1e-9)
-        cell_i = [F.floor(iu.item(d) / F.lit(w)).cast("bigint") for d in dims]
-        cell_q = [F.floor(qu.item(d) / F.lit(w)).cast("bigint") for d in dims]
-        qs, its = pending, it
-        if not final:
-            qs = qs.where(F.col("_norm") > 0)
-            its = its.where(F.col("_norm") > 0)
-        its = its.select("_item", *iv.cols(), *[c.alias(f"c{j}") for j, c in enumerate(cell_i)])
-        qx = qs.select(query_key, *([self_key] if self_key else []), *qv.cols(),
-                       F.explode(F.array(*[
-                           F.struct(*[(cell_q[j] + F.lit(o[j])).alias(f"c{j}") for j in range(g)])
-                           for o in offsets])).alias("_cell")).select(
-            "*", *[F.col(f"_cell.c{j}").alias(f"c{j}") for j in range(g)]).drop("_cell")
-        pairs = qx.join(its, [f"c{j}" for j in range(g)])
-        if self_key:
-            pairs = pairs.where(~F.col(self_key).eqNullSafe(F.col("_item")))
-        pairs = pairs.select(query_key, "_item", sim.alias("similarity"))
-        if not final:
-            pairs = pairs.where(F.col("similarity") >= F.lit(1.0 - r * r / 2.0))
-        if exclude is not None:
-            ex = exclude.select(F.col(query_key), F.col(item_key).alias("_item"))
-            pairs = pairs.join(ex, [query_key, "_item"], "left_anti")
-        ranked = pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        if final:
-            done.append(ranked)
-            break
-        ranked = cut_lineage(ranked)
-        resolved = ranked.where(F.col("rank") == k).select(query_key)
-        done.append(ranked.join(resolved, query_key, "left_semi"))
-        pending = cut_lineage(pending.join(resolved, query_key, "left_anti"))
-        if pending.isEmpty():
-            break
-
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out.select(query_key, F.col("rank").cast("int").alias("rank"),
-                      F.col("_item").alias(item_key), "similarity")
-
-
-# ---------------------------------------------------------------------------
-# Blocked exact top-k (the default path)
-# ---------------------------------------------------------------------------
-#
-# In 8 and more dimensions a grid prunes little: the cells around a query
-# hold most of the catalogue long before they hold its k-th neighbour. The
-# blocked path computes the similarities of a block of queries against a
-# block of items as one matrix product inside a task and keeps, per query,
-# only the candidates that can still rank (its top m plus near-ties), so no
-# pair is ever a row. Blocks are bounded by construction (QUERY_BLOCK
-# queries, ITEM_BLOCK items). The packed item blocks are broadcast to the
-# query blocks only when their total size is below MAX_ITEM_BYTES (checked
-# from the item count); otherwise the grid path above answers the query.
-# The candidates' similarities are then recomputed with the same Column
-# expression as the grid path and ranked by the same window, so both paths
-# return identical rows.
-
-QUERY_BLOCK = 4096
-ITEM_BLOCK = 8192
-MAX_ITEM_BYTES = 512 * 1024 * 1024
-_SUB = 512  # query rows per matrix product inside a task (bounds task memory)
-_TIE = 1e-9  # candidates within this of the m-th similarity are kept
-
-
-def _vector_array(dim: int, prefix: str = "v") -> Column:
-    v = _Vec(prefix, dim)
-    return F.col(prefix) if v.wide else F.array(*[F.col(c) for c in v.cols()])
-
-
-def _blocked_candidates(q: DataFrame, it: DataFrame, dim: int, query_key: str, self_key: str | None,
-                        need: str, n_items: int, eps: float) -> DataFrame:
-    """(query_key, _item) candidate pairs. ``q`` has (query_key, [self_key],
-    need, v...), ``it`` has (_item, v...)."""
-    import numpy as np
-    import pandas as pd
-    from pyspark.sql.types import StructField, StructType
-
-    spark = q.sparkSession
-    n_blocks = max(1, -(-n_items // ITEM_BLOCK))
-    ipack = (it.select("_item", _vector_array(dim).alias("_v"))
-             .withColumn("_ib", F.pmod(F.xxhash64("_item"), F.lit(n_blocks)))
-             .groupBy("_ib").agg(F.collect_list(F.struct("_item", "_v")).alias("_items")))
-    n_q = q.count()
-    q_blocks = max(1, -(-n_q // QUERY_BLOCK))
-    selfc = F.col(self_key) if self_key else F.lit(None).cast(it.schema["_item"].dataType)
-    qpack = (q.select(F.col(query_key).alias("_q"), selfc.alias("_s"), F.col(need).alias("_m"),
-                      _vector_array(dim).alias("_v"))
-             .withColumn("_qb", F.pmod(F.xxhash64("_q"), F.lit(q_blocks)))
-             .groupBy("_qb").agg(F.collect_list(F.struct("_q", "_s", "_m", "_v")).alias("_qs")))
-    pairs = qpack.join(F.broadcast(ipack)).select("_qs", "_items")
-    out_schema = StructType([StructField(query_key, q.schema[query_key].dataType),
-                             StructField("_item", it.schema["_item"].dataType)])
-
-    def top_candidates(batches):
-        for pdf in batches:
-            for qs, items in zip(pdf["_qs"], pdf["_items"]):
-                ids = np.array([r["_item"] for r in items], dtype=object)
-                mat = np.array([r["_v"] for r in items], dtype=np.float64).reshape(len(items), dim)
-                inorm = np.sqrt((mat * mat).sum(axis=1))
-                pos = {k: i for i, k in enumerate(ids)}
-                for s in range(0, len(qs), _SUB):
-                    sub = qs[s:s + _SUB]
-                    qm = np.array([r["_v"] for r in sub], dtype=np.float64).reshape(len(sub), dim)
-                    qnorm = np.sqrt((qm * qm).sum(axis=1))
-                    den = qnorm[:, None] * inorm[None, :]
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        sim = qm @ mat.T / (den + eps) if eps else np.where(den == 0, 0.0, qm @ mat.T / den)
-                    for r, row in enumerate(sub):
-                        j = pos.get(row["_s"]) if row["_s"] is not None else None
-                        if j is not None:
-                            sim[r, j] = -np.inf
-                    out_q, out_i = [], []
-                    for r, row in enumerate(sub):
-                        m = min(int(row["_m"]), len(ids))
-                        s_row = sim[r]
-                        kth = np.partition(s_row, len(ids) - m)[len(ids) - m]
-                        keep = np.nonzero(s_row >= kth - _TIE)[0]
-                        keep = keep[np.isfinite(s_row[keep])]
-                        out_q.extend([row["_q"]] * len(keep))
-                        out_i.extend(ids[keep].tolist())
-                    if out_q:
-                        yield pd.DataFrame({query_key: out_q, "_item": out_i})
-
-    return pairs.mapInPandas(top_candidates, out_schema)
-
-
-def _cosine_topk_blocked(queries: DataFrame, items: DataFrame, k: int, dim: int, query_key: str,
-                         item_key: str, self_key: str | None, exclude: DataFrame | None,
-                         eps: float, n_items: int) -> DataFrame:
-    qv, iv = _Vec("v", dim), _Vec("w", dim)
-    q = queries.select(query_key, *([self_key] if self_key else []), *qv.cols())
-    it = items.select(F.col(item_key).alias("_item"), *qv.cols())
-    ex = None
-    if exclude is not None:
-        ex = exclude.select(F.col(query_key), F.col(item_key).alias("_item")).distinct()
-        sizes = ex.groupBy(query_key).agg(F.count(F.lit(1)).alias("_e"))
-        q = q.join(sizes, query_key, "left").withColumn(
-            "_need", F.lit(k) + F.coalesce(F.col("_e"), F.lit(0))).drop("_e")
-    else:
-        q = q.withColumn("_need", F.lit(k))
-    q = cut_lineage(q)
-    cand = cut_lineage(_blocked_candidates(q, it, dim, query_key, self_key, "_need", n_items, eps))
-    if ex is not None:
-        cand = cand.join(ex, [query_key, "_item"], "left_anti")
-    itw = it.select("_item", *qv.rename(it.columns, "w"))
-    pairs = cand.join(q.select(query_key, *qv.cols()), query_key).join(itw, "_item")
-    sim = qv.cosine(iv, eps)
-    order = Window.partitionBy(query_key).orderBy(F.col("similarity").desc(), F.col("_item").asc())
-    ranked = pairs.select(query_key, "_item", sim.alias("similarity")) \
-        .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select(query_key, F.col("rank").cast("int").alias("rank"),
-                         F.col("_item").alias(item_key), "similarity")
+    it = _vectors(items, item_key, dim)
+    q = _vectors(queries, query_key, dim, self_key)
+    n, n_queries = it.count(), q.count()
+    pivots = _pivots(it, n, dim)
+    packed_items = pack(_grouped(it, pivots, dim), ITEM_BLOCK)
+    packed_queries = pack(_grouped(q, pivots, dim), query_block(n_queries, q))
+    held = packed_items.blocks.select("grp", F.col("block").alias("ib"), "lo", "hi")
+    gap = F.greatest(F.col("lo") - F.col("high"), F.col("low") - F.col("hi"), F.lit(0.0))
+    seeds = (
+        _reach(packed_queries, pivots, dim, eps, None).join(held, "grp").groupBy("qb", "grp")
+        .agg(F.min_by("ib", F.struct(gap, F.col("ib"))).alias("ib")))
+
+    def windows(taus: DataFrame) -> DataFrame:
+        meets = (F.col("lo") <= F.col("high")) & (F.col("hi") >= F.col("low"))
+        return _reach(packed_queries, pivots, dim, eps, taus).join(held, "grp").where(meets)
+
+    return block_topk(packed_queries, packed_items, seeds, windows, k, dim, cosine=True, eps=eps, exclude=exclude,
+                      query_key=query_key, item_key=item_key)

@@ -1,67 +1,124 @@
-"""Exact cosine top-k against a numpy brute force; self-exclusion, exclusion
-lists and the deterministic tie order."""
+"""Exact cosine top-k against all pairs, scored as left-to-right sums: own item,
+exclusion lists, ties, NULL, NaN and zero vectors, many blocks."""
 
-import numpy as np
+import math
+import random
+
+import pytest
+
+from cadence.operators import knn, topk
+
+
+def _score(a, b, eps):
+    def dot(x, y):
+        total = x[0] * y[0]
+        for p, q in zip(x[1:], y[1:]):
+            total = total + p * q
+        return total
+    den = math.sqrt(dot(a, a)) * math.sqrt(dot(b, b))
+    return dot(a, b) / (den + eps) if eps else 0.0 if den == 0 else dot(a, b) / den
 
-from cadence.operators import knn
 
+def _brute(queries, items, k, eps=0.0, own=None, gone=frozenset()):
+    def usable(v):
+        return all(x is not None and x == x for x in v)
+    out = {}
+    for q, v in queries.items():
+        if usable(v):
+            found = sorted((-_score(v, w, eps), i) for i, w in items.items()
+                           if usable(w) and (own or {}).get(q) != i and (q, i) not in gone)[:k]
+            out[q] = [(n + 1, i, -s) for n, (s, i) in enumerate(found)]
+    return {q: r for q, r in out.items() if r}
+
+
+def _frame(spark, key, vectors, dim, kind="long", own=None):
+    schema = f"{key} {kind}, " + (", ".join(f"v{d} double" for d in range(dim)) if dim <= knn.WIDE else "v array<double>")
+    rows = [(i, *(v if dim <= knn.WIDE else [list(v)])) for i, v in vectors.items()]
+    if own is None:
+        return spark.createDataFrame(rows, schema)
+    return spark.createDataFrame([(*r, own.get(r[0])) for r in rows], f"{schema}, own {kind}")
 
-def _brute(q, items, k, self_ids=None, excl=None):
+
+def _got(res, query_key="query_id", item_key="track_idx"):
     out = {}
-    qn = q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
-    it = items / np.maximum(np.linalg.norm(items, axis=1, keepdims=True), 1e-300)
-    for i in range(len(q)):
-        s = it @ qn[i]
-        cand = [(-round(float(s[j]), 9), j) for j in range(len(items))
-                if (self_ids is None or j != self_ids[i]) and (excl is None or (i, j) not in excl)]
-        out[i] = [j for _, j in sorted(cand)[:k]]
+    for r in res.orderBy(query_key, "rank").collect():
+        out.setdefault(r[query_key], []).append((r["rank"], r[item_key], r["similarity"]))
     return out
 
 
-def _frame(spark, key, arr, dim):
-    rows = [(i, *map(float, v)) for i, v in enumerate(arr)]
-    return spark.createDataFrame(rows, [key] + [f"v{d}" for d in range(dim)])
+def _vectors(n, dim, seed, signed=False):
+    rnd = random.Random(seed)
+    out = {i: tuple(rnd.random() - (0.5 if signed else 0) for _ in range(dim)) for i in range(n)}
+    for i in range(0, n, 9):
+        out[i] = out[1]  # equal vectors
+    for i in range(3, n, 31):
+        out[i] = (0.0,) * dim
+    for i in range(5, n, 25):  # 8 of 200
+        out[i] = (None, *out[i][1:])
+    out[7] = (float("nan"), *out[7][1:])
+    out[11] = tuple(2 * x for x in out[12])
+    return out
 
 
-import pytest
+@pytest.fixture(params=[False, True], ids=["one block", "many blocks"])
+def blocks(request, monkeypatch):
+    if request.param:
+        monkeypatch.setattr(knn, "ITEM_BLOCK", 16)
+        monkeypatch.setattr(topk, "QUERY_BLOCK", 24)
+        monkeypatch.setattr(topk, "RUN_BITS", 1)
+
+
+@pytest.mark.parametrize("dim, eps, signed", [(6, 0.0, False), (4, 1e-8, True), (3, 0.0, True), (12, 1e-8, False)])
+def test_catalogue_against_itself(spark, blocks, dim, eps, signed):
+    v = _vectors(200, dim, dim, signed)
+    it, own = _frame(spark, "track_idx", v, dim), {i: i for i in v}
+    q = it.withColumnRenamed("track_idx", "query_id")
+    for k in (5, 10):
+        res = knn.cosine_topk(q, it, k, dim, self_key="query_id", eps=eps)
+        assert _got(res) == _brute(v, v, k, eps, own)
+
+
+def test_exclusions_strings_and_partial_self(spark, blocks):
+    dim, k = 5, 6
+    items = {f"t{i:03}": v for i, v in _vectors(150, dim, 1).items()}
+    queries = {f"q{i}": v for i, v in _vectors(40, dim, 2).items()}
+    own = {f"q{i}": f"t{i:03}" if i % 3 else None for i in range(40)} | {"q4": "not an item"}
+    gone = {(q, i) for n, q in enumerate(queries) for i in list(items)[:: n % 5 + 2]}
+    gone |= {("q2", i) for i in list(items)[:148]}  # almost all
+    ex = spark.createDataFrame(sorted(gone) * 2, "query_id string, track_idx string")
+    res = knn.cosine_topk(_frame(spark, "query_id", queries, dim, "string", own), _frame(spark, "track_idx", items, dim, "string"),
+                          k, dim, self_key="own", exclude=ex)
+    assert _got(res) == _brute(queries, items, k, 0.0, own, gone)
+
+
+def test_far_blocks_are_skipped(spark, monkeypatch):
+    """Clusters far apart: the second round meets only a part of all units."""
+    monkeypatch.setattr(knn, "ITEM_BLOCK", 64)
+    rnd = random.Random(4)
+    centres = [tuple(rnd.gauss(0, 1) for _ in range(6)) for _ in range(12)]
+    v = {i: tuple(x + rnd.gauss(0, .02) for x in centres[i % 12]) for i in range(1500)}
+    met, whole, score = [], set(), topk._score
+
+    def counted(units, queries, items, *rest):
+        met.append(units.count())
+        whole.add(queries.blocks.count() * items.blocks.count())
+        return score(units, queries, items, *rest)
+
+    monkeypatch.setattr(topk, "_score", counted)
+    it = _frame(spark, "track_idx", v, 6)
+    res = knn.cosine_topk(it.withColumnRenamed("track_idx", "query_id"), it, 5, 6, self_key="query_id")
+    some = {i: v[i] for i in range(0, 1500, 50)}
+    got = _got(res)
+    assert {i: got[i] for i in some} == _brute(some, v, 5, 0.0, {i: i for i in v})
+    (units,) = whole
+    assert sum(met) < units / 3
 
 
-@pytest.mark.parametrize("method", ["blocked", "grid"])
-def test_topk_matches_brute_force(spark, method):
-    rng = np.random.default_rng(3)
-    dim, n, k = 6, 300, 7
-    items = rng.random((n, dim))
-    items[5] = 0.0  # a zero vector scores 0
-    it = _frame(spark, "track_idx", items, dim)
-    q = it.withColumnRenamed("track_idx", "query_id").withColumn("self", __import__(
-        "pyspark.sql.functions", fromlist=["col"]).col("query_id"))
-    res = knn.cosine_topk(q, it, k, dim, query_key="query_id", self_key="self", method=method)
-    got = {}
-    for r in res.orderBy("query_id", "rank").collect():
-        got.setdefault(r["query_id"], []).append(r["track_idx"])
-    want = _brute(items, items, k, self_ids=list(range(n)))
-    assert set(got) == set(range(n))
-    mism = [i for i in range(n) if got[i] != want[i]]
-    assert not mism, mism[:5]
-
-
-@pytest.mark.parametrize("method", ["blocked", "grid"])
-def test_exclusion_and_ranks(spark, method):
-    rng = np.random.default_rng(11)
-    dim, n, k = 4, 80, 5
-    items = rng.random((n, dim))
-    queries = rng.random((10, dim))
-    excl = {(i, j) for i in range(10) for j in range(0, n, 3)}
-    it = _frame(spark, "track_idx", items, dim)
-    q = _frame(spark, "query_id", queries, dim)
-    ex = spark.createDataFrame(sorted(excl), "query_id long, track_idx long")
-    res = knn.cosine_topk(q, it, k, dim, exclude=ex, method=method).orderBy("query_id", "rank").collect()
-    got = {}
-    for r in res:
-        got.setdefault(r["query_id"], []).append((r["rank"], r["track_idx"], r["similarity"]))
-    want = _brute(queries, items, k, excl=excl)
-    for i in range(10):
-        assert [t for _, t, _ in got[i]] == want[i]
-        assert [rk for rk, _, _ in got[i]] == list(range(1, k + 1))
-        sims = [s for _, _, s in got[i]]
-        assert sims == sorted(sims, reverse=True) and all(-1 - 1e-9 <= s <= 1 + 1e-9 for s in sims)
+def test_no_items_no_queries(spark):
+    it = _frame(spark, "track_idx", {1: (1.0, 2.0), 2: (None, 1.0)}, 2)
+    q = it.withColumnRenamed("track_idx", "query_id")
+    assert knn.cosine_topk(q, it.limit(0), 3, 2).count() == 0
+    assert knn.cosine_topk(q.limit(0), it, 3, 2).count() == 0
+    zeros = _frame(spark, "track_idx", {i: (0.0, 0.0) for i in range(9)}, 2)
+    assert _got(knn.cosine_topk(zeros.withColumnRenamed("track_idx", "query_id"), zeros, 3, 2, self_key="query_id")) == \
+        _brute({i: (0.0, 0.0) for i in range(9)}, {i: (0.0, 0.0) for i in range(9)}, 3, 0.0, {i: i for i in range(9)})
