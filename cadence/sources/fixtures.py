@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadence.operators.segments import ordered
 from cadence.sources.tables import read_table
 
 
@@ -106,31 +107,22 @@ def interactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def playlist_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences with a large vocabulary: a customer's line items in order."""
-    from pyspark.sql import Window
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
         "l_extendedprice", "l_shipdate")
-    w = Window.partitionBy("o_custkey").orderBy(
-        "o_orderdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        "l_quantity", "l_extendedprice", "l_shipdate")
-    return o.join(li, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("o_custkey").alias("seq_id"),
-        (F.row_number().over(w) - 1).cast("bigint").alias("pos"),
-        _pad_id("T", F.col("l_partkey")).alias("track_id"),
-    )
+    rows = o.join(li, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+    order = ["o_orderdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+             "l_shipdate"]
+    return ordered(rows, ["o_custkey"], order).select(
+        F.col("o_custkey").alias("seq_id"), "pos", _pad_id("T", F.col("l_partkey")).alias("track_id"))
 
 
 def event_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences with a small vocabulary: a user's event types in time order."""
-    from pyspark.sql import Window
     e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return e.select(
-        F.col("user_id").alias("seq_id"),
-        (F.row_number().over(w) - 1).cast("bigint").alias("pos"),
-        F.col("event_type").alias("track_id"),
-    )
+    return ordered(e, ["user_id"], ["ts", "event_id"]).select(
+        F.col("user_id").alias("seq_id"), "pos", F.col("event_type").alias("track_id"))
 
 
 # ---------------------------------------------------------------------------
