@@ -5,13 +5,15 @@ temporal split (F3) and the cleaning report (G12)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.config import (AUDIO_FEATURES, DEFAULT_YEAR, DEFAULTS, RENAME_MAP, UNIT_FEATURES,
                             YEAR_COLUMNS)
 from cadence.functions.text import clean_artist, infer_year
 from cadence.operators.index import dense_index
+from cadence.operators.selection import middle_values
+from cadence.session import cut_lineage
 
 
 # ---------------------------------------------------------------------------
@@ -93,16 +95,22 @@ def dedupe_key(df: DataFrame) -> list:
             F.when(no_id, column("artist")).alias("_k_artist")]
 
 
-def dedupe_tracks(df: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """First-wins dedupe. The winner per key is the row with the smallest
+def dedupe_tracks(df: DataFrame, order: list[str] | None = None, prefer: str = "first") -> DataFrame:
+    """First-wins dedupe; ``prefer="richest"`` lets the row with the most audio
+    features win before the order counts. The winner per key is the row with the smallest
     ``order`` tuple (default: source_priority, source_file, source_row,
     track_id), and of equal tuples the row with the smallest hash, so the winner
     does not depend on the partitioning; it is chosen with ``min_by``, which pre-aggregates on the map side, so a key
     holding a large share of the rows never lands whole in one task."""
     order = order or [c for c in ["source_priority", "source_file", "source_row", "track_id"] if c in df.columns]
     cols = df.columns
+    if prefer not in ("first", "richest"):
+        raise ValueError(f"prefer is first or richest, not {prefer!r}")
+    missing = F.lit(0)
+    if prefer == "richest":
+        missing = sum([F.col(c).isNull().cast("int") for c in AUDIO_FEATURES if c in cols], F.lit(0))
     keyed = df.select(*dedupe_key(df), F.struct(*cols).alias("_row"),
-                      F.struct(*order, F.xxhash64(*cols).alias("_hash")).alias("_ord"))
+                      F.struct(missing.alias("_missing"), *order, F.xxhash64(*cols).alias("_hash")).alias("_ord"))
     return (keyed.groupBy("_k_id", "_k_name", "_k_artist")
             .agg(F.min_by("_row", "_ord").alias("_row"))
             .select("_row.*"))
@@ -112,39 +120,17 @@ def dedupe_tracks(df: DataFrame, order: list[str] | None = None) -> DataFrame:
 # Audio features
 # ---------------------------------------------------------------------------
 
-def median_frame(df: DataFrame, cols: list[str]) -> DataFrame:
+def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
     """Exact median (mean of the two middle values) of each column, NULLs
-    ignored, as (feature, median). One distributed sort of (column, value)
-    pairs finds the middle positions: no column's values are ever gathered
-    into one task, and a row hash breaks ties so a repeated value still
-    spreads over the range partitions."""
-    tie = F.xxhash64(*[F.col(c) for c in df.columns])
-    stacked = df.select(tie.alias("_t"), F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_f"), F.col(c).cast("double").alias("_v"))
-        for i, c in enumerate(cols)])).alias("_s")).select("_s._f", "_s._v", "_t")
-    stacked = stacked.where(F.col("_v").isNotNull())
-    ranked = dense_index(stacked, ["_f", "_v", "_t"], "_g")
-    counts = stacked.groupBy("_f").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_f").rowsBetween(Window.unboundedPreceding, -1)
-    bounds = counts.select(
-        "_f", "_n", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    bounds = bounds.select(
-        "_f",
-        (F.col("_off") + F.floor((F.col("_n") - 1) / 2)).alias("_lo"),
-        (F.col("_off") + F.floor(F.col("_n") / 2)).alias("_hi"))
-    mids = ranked.join(F.broadcast(bounds), "_f").where(
-        (F.col("_g") == F.col("_lo")) | (F.col("_g") == F.col("_hi")))
-    names = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(i), F.lit(c))])
-    return mids.groupBy("_f").agg(((F.min("_v") + F.max("_v")) / 2.0).alias("median")).select(
-        F.element_at(names, F.col("_f")).alias("feature"), "median")
+    ignored, found by counting bits of the values (``selection``)."""
+    return {c: None if m is None else (m[0] + m[1]) / 2.0 for c, m in middle_values(df, cols).items()}
 
 
-def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
-    """The same medians as a one-row statistic for the driver."""
-    if not cols:
-        return {}
-    found = {r["feature"]: r["median"] for r in median_frame(df, cols).collect()}
-    return {c: found.get(c) for c in cols}
+def median_frame(df: DataFrame, cols: list[str]) -> DataFrame:
+    """The same medians as rows (feature, median)."""
+    found = exact_medians(df, cols)
+    return df.sparkSession.createDataFrame([(c, m) for c, m in found.items() if m is not None],
+                                           "feature string, median double")
 
 
 def _nan_to_null(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -209,6 +195,14 @@ def build_tracks(raw: DataFrame, dedupe: bool = True) -> DataFrame:
     return with_year(df)
 
 
+def build_catalogue(sources: list[DataFrame], prefer: str = "first") -> DataFrame:
+    """The whole chain over all sources: union, dedupe, clean, index, year and
+    split. Rows without an id are indexed first, by name and artist."""
+    df = clean_audio_features(cut_lineage(dedupe_tracks(union_sources(sources), prefer=prefer)))
+    df = dense_index(df, ["track_id", "track_name", "artist"], "track_idx")
+    return temporal_split(with_year(df))
+
+
 def temporal_split(df: DataFrame, train_years=DEFAULTS.train_years,
                    val_years=DEFAULTS.val_years, test_years=DEFAULTS.test_years,
                    leftover: str = "train") -> DataFrame:

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from cadence.config import AUDIO_FEATURES, UNIT_FEATURES, VIBE_FEATURES, YEAR_COLUMNS
 from cadence.functions.text import clean_artist, clean_artist_sql, infer_year, text_contains
 from cadence.operators import clean, index
-from cadence.plans.registry import (interactions, query, r9, r9_sql, tracks,
+from cadence.plans.registry import (all_sources, interactions, query, r9, r9_sql, tracks,
                                     union_all_sources, vibe)
-from cadence.plans.sql import median_sql, with_ctes, year_sql
+from cadence.plans.sql import deduped_sql, median_sql, with_ctes, year_sql
 from cadence.sources import fixtures as fx
 
 # Per-source load summary ------------------------------------------------
@@ -155,3 +155,20 @@ GROUP BY genre ORDER BY tracks DESC, genre LIMIT 20""", "tracks"))(
 
 query("clean_tracks", with_ctes("SELECT * FROM tracks", "tracks"))(
     lambda spark, sf: tracks(spark, sf))
+
+# The chain over all three sources, hard rows included -------------------------------
+
+query("build_catalogue", with_ctes("SELECT * FROM catalogue", "catalogue"))(
+    lambda spark, sf: clean.build_catalogue(all_sources(spark, sf)))
+
+query("dedupe_richest", with_ctes(deduped_sql(
+    "union_all_src", " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in AUDIO_FEATURES) + ","), "union_all_src"))(
+    lambda spark, sf: clean.dedupe_tracks(clean.union_sources(all_sources(spark, sf)), prefer="richest"))
+
+query("catalogue_report", with_ctes(f"""
+SELECT 0 AS step_no, 'input' AS step, count(*) AS rows FROM union_all_src
+UNION ALL SELECT 1, 'dedupe', count(*) FROM deduped_all
+UNION ALL SELECT 2, 'drop_all_null', count(*) FROM deduped_all WHERE NOT ({_ALL_NULL})
+UNION ALL SELECT 3, 'tempo_filter', count(*) FROM deduped_all
+  WHERE NOT ({_ALL_NULL}) AND (tempo BETWEEN 40 AND 250 OR tempo IS NULL)""", "deduped_all"))(
+    lambda spark, sf: clean.cleaning_report(clean.union_sources(all_sources(spark, sf))))

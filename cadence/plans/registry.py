@@ -76,6 +76,11 @@ def sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [a, fx.tracks_raw_b(spark, sf_dir)]
 
 
+def all_sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """All three sources of the catalogue."""
+    return [*sources(spark, sf_dir), fx.tracks_raw_c(spark, sf_dir)]
+
+
 def union_all_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.union_sources(sources(spark, sf_dir))
 

@@ -107,6 +107,40 @@ SELECT id AS track_id, name AS track_name, {clean_artist_sql('artists')} AS arti
        release_date, source_row, 2 AS source_priority
 FROM tracks_raw_b""")
 
+cte("tracks_raw_c", [], fx.TRACKS_RAW_C_SQL)
+
+cte("union_all_src", ["union_src", "tracks_raw_c"], f"""
+SELECT * FROM union_src
+UNION ALL
+SELECT track_id, track_name, {clean_artist_sql('artists')} AS artist, genre, CAST(NULL AS VARCHAR) AS subgenre,
+       popularity, {_FEATS}, release_date, source_row, 3 AS source_priority
+FROM tracks_raw_c""")
+
+
+def deduped_sql(src: str, first: str = "") -> str:
+    return f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (
+      PARTITION BY track_id, CASE WHEN track_id IS NULL THEN track_name END,
+                   CASE WHEN track_id IS NULL THEN artist END
+      ORDER BY {first} source_priority, source_row NULLS FIRST, track_id NULLS FIRST) AS rn
+  FROM {src}) d
+WHERE rn = 1"""
+
+
+cte("deduped_all", ["union_all_src"], deduped_sql("union_all_src"))
+cte("all_f1", ["deduped_all"], f"SELECT * FROM deduped_all WHERE NOT ({_ALL_NULL})")
+cte("all_p4", ["all_f1"], f"""
+SELECT * EXCLUDE ({_FEATS}), {_FILLED.replace("tracks_f1", "all_f1")}
+FROM all_f1""")
+cte("catalogue", ["all_p4"], f"""
+SELECT * EXCLUDE ({_FEATS}, yr), {_CLAMPED}, yr AS year,
+       CASE WHEN yr IN (2021) THEN 'val' WHEN yr IN (2022) THEN 'test' ELSE 'train' END AS split,
+       CAST(row_number() OVER (ORDER BY track_id NULLS FIRST, track_name NULLS FIRST, artist NULLS FIRST) - 1 AS BIGINT)
+         AS track_idx
+FROM (SELECT *, {year_sql('release_date')} AS yr FROM all_p4) y
+WHERE tempo BETWEEN 40 AND 250 OR tempo IS NULL""")
+
 cte("deduped", ["union_src"], """
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (

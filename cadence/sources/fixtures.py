@@ -93,6 +93,13 @@ def tracks_raw_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tracks_raw_c(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source 3, one row per customer, with the hard rows: two rows to an id, some
+    rows without an id, without any feature, or with features that are all zero."""
+    return spark.sql(TRACKS_RAW_C_SQL.replace("FROM customer", "FROM {customer}"),
+                     customer=read_table(spark, sf_dir, "customer"))
+
+
 def interactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listening events: one row per line item, user = ordering customer."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -174,6 +181,34 @@ SELECT CASE WHEN k % 17 = 0 THEN NULL ELSE concat('T', lpad(cast(k * 3 AS VARCHA
 FROM (SELECT CAST(p_partkey AS BIGINT) AS k, * FROM part) p
 """
 
+def _customer_feature(expr: str, zero: str) -> str:
+    return f"CASE WHEN k % 13 = 0 THEN NULL WHEN k % 29 = 0 THEN {zero} ELSE {expr} END"
+
+
+_CUSTOMER_UNIT = ", ".join(
+    f"{_customer_feature(f'((k * {m} + {a}) % 997) / 996e0', '0e0')} AS {c}" for c, m, a in [
+        ("danceability", 7907, 3), ("energy", 7901, 5), ("valence", 7883, 7), ("acousticness", 7879, 11),
+        ("instrumentalness", 7877, 13), ("speechiness", 7873, 17), ("liveness", 7867, 19)])
+
+# valid in both engines
+TRACKS_RAW_C_SQL = f"""
+SELECT CASE WHEN k % 19 = 0 THEN NULL
+            ELSE concat('T', lpad(CAST(CAST(floor(k / 2e0) AS BIGINT) * 5 AS STRING), 8, '0')) END AS track_id,
+       c_name AS track_name,
+       concat('[\'\'', c_mktsegment, '\'\']') AS artists,
+       CASE WHEN k % 5 = 0 THEN NULL ELSE c_mktsegment END AS genre,
+       CAST(k % 101 AS INT) AS popularity,
+       {_CUSTOMER_UNIT},
+       {_customer_feature("35e0 + (k * 613) % 220", "0e0")} AS tempo,
+       {_customer_feature("-50e0 + (k * 389) % 51", "0e0")} AS loudness,
+       {_customer_feature("180000 + (k * 773) % 90000", "0")} AS duration_ms,
+       {_customer_feature("k % 12", "0")} AS key, {_customer_feature("k % 2", "0")} AS mode,
+       {_customer_feature("3 + k % 3", "0")} AS time_signature,
+       CASE WHEN k % 4 = 0 THEN NULL ELSE CAST(2015 + k % 9 AS STRING) END AS release_date,
+       k AS source_row
+FROM (SELECT CAST(c_custkey AS BIGINT) AS k, * FROM customer) c
+"""
+
 INTERACTIONS_RAW_SQL = """
 SELECT concat('U', lpad(cast(o_custkey AS VARCHAR), 8, '0')) AS user_id,
        concat('T', lpad(cast(l_partkey AS VARCHAR), 8, '0')) AS track_id,
