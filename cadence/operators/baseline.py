@@ -39,27 +39,29 @@ def genre_baseline(catalogue: DataFrame, seeds: DataFrame, n: int = 20,
     top_genre = _ranked(cat.where(F.col("genre").isNotNull()), ["genre"], n)
     same = s.where("_same").select("seed_idx", "genre").join(top_genre, "genre")
     same = same.select("seed_idx", "track_idx", "track_id", "popularity", F.lit(0).alias("_tier"))
-    rest = s.where(~F.col("_same")).withColumn("_all", F.lit(0))
+    rest = s.where(~F.col("_same"))
     # A genre short of n tracks has at most n of them, so the top 2n+2
-    # overall always hold n others after removing the seed and its genre.
-    # global top-k: TakeOrderedAndProject keeps 2n+2 rows per task map-side
-    top_all = cat.orderBy(F.col("popularity").desc_nulls_last(), F.col("track_idx")).limit(2 * n + 2)
-    top_all = top_all.withColumn("_all", F.lit(0)).withColumn("_r", F.row_number().over(
-        Window.partitionBy("_all").orderBy(F.col("popularity").desc_nulls_last(), F.col("track_idx"))))
-    top_all = top_all.select("_all", "track_idx", "track_id", "popularity",
-                             F.col("genre").alias("_g"), F.col("_r"))
+    # overall always hold n others after removing the seed and its genre:
+    # 2n+2 rows, carried by every such seed as one literal array.
+    best = cat.orderBy(F.col("popularity").desc_nulls_last(), F.col("track_idx")).limit(2 * n + 2).collect()
+    kind = "array<struct<" + ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in cat.schema) + ">>"
+
+    def overall(size: int) -> DataFrame:
+        rows = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in cat.columns]) for r in best[:size]]).cast(kind)
+        return rest.select("seed_idx", F.col("genre").alias("_sg"), F.explode(rows).alias("t")).select(
+            "seed_idx", "_sg", "t.*")
+
     if padding == "after":
         first = rest.where(F.col("genre").isNotNull()).select("seed_idx", "genre") \
             .join(top_genre, "genre") \
             .select("seed_idx", "track_idx", "track_id", "popularity", F.lit(0).alias("_tier"))
-        second = rest.join(top_all, "_all") \
-            .where(~F.coalesce(F.col("_g") == F.col("genre"), F.lit(False))) \
+        second = overall(2 * n + 2) \
+            .where(~F.coalesce(F.col("genre") == F.col("_sg"), F.lit(False))) \
             .select("seed_idx", "track_idx", "track_id", "popularity", F.lit(1).alias("_tier"))
         pool = same.unionByName(first).unionByName(second)
     else:
-        allp = rest.join(top_all.where(F.col("_r") <= n + 1), "_all") \
-            .select("seed_idx", "track_idx", "track_id", "popularity", F.lit(0).alias("_tier"))
-        pool = same.unionByName(allp)
+        pool = same.unionByName(overall(n + 1).select(
+            "seed_idx", "track_idx", "track_id", "popularity", F.lit(0).alias("_tier")))
     pool = pool.where(F.col("seed_idx") != F.col("track_idx"))
     w = Window.partitionBy("seed_idx").orderBy(
         F.col("_tier"), F.col("popularity").desc_nulls_last(), F.col("track_idx"))

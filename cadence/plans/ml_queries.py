@@ -52,6 +52,21 @@ query("pca_variance", with_ctes(
     + " + ".join(f"(CASE WHEN var_pop({c}) > 0 THEN 1 ELSE 0 END)" for c in _COLS)
     + " AS DOUBLE), 6) AS total_variance FROM tracks", "tracks"))(
     lambda spark, sf: pca.total_variance(features.full_feature_matrix(tracks(spark, sf))))
+_SQUARES = " + ".join(f"CASE WHEN s.sd_{i} = 0 THEN 0e0 ELSE pow(({c} - s.mu_{i}) / s.sd_{i}, 2) END" for i, c in enumerate(_COLS))
+_MOMENTS = ", ".join(f"avg({c}) AS mu_{i}, stddev_pop({c}) AS sd_{i}" for i, c in enumerate(_COLS))
+query("pca_squared_norms", with_ctes(f"""
+SELECT t.track_id, t.track_idx, round({_SQUARES}, 6) AS squared_norm
+FROM tracks t, (SELECT {_MOMENTS} FROM tracks) s""", "tracks"))(
+    lambda spark, sf: pca.squared_norms(features.full_feature_matrix(tracks(spark, sf))).withColumn(
+        "squared_norm", F.round("squared_norm", 6)))
+
+_VARIES = " + ".join(f"CASE WHEN var_pop({c}) > 0 THEN 1 ELSE 0 END" for c in _COLS)
+_PAIRS = " + ".join(f"coalesce(pow(nullif(corr({a}, {b}), 'NaN'::DOUBLE), 2), 0e0)"
+                    for i, a in enumerate(_COLS) for b in _COLS[:i])
+query("pca_eigenvalue_sums", with_ctes(f"""
+SELECT {len(_COLS)} AS n_components, round(CAST({_VARIES} AS DOUBLE), 6) AS total,
+       round(({_VARIES}) + 2 * ({_PAIRS}), 6) AS squares FROM tracks""", "tracks"))(
+    lambda spark, sf: pca.eigenvalue_sums(features.full_feature_matrix(tracks(spark, sf))))
 del CATEGORICAL_FEATURES
 
 # P15 / R11 / T6 -------------------------------------------------------------------------

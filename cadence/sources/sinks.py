@@ -10,15 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+ROWS_PER_FILE = 5_000_000
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                mode: str = "overwrite") -> None:
+                mode: str = "overwrite", rows_per_file: int = ROWS_PER_FILE) -> None:
     """Parquet sink. With ``partition_by`` the folder is split by those
-    columns, so readers prune partitions; rows are first clustered by the
-    same columns so each task writes few files."""
-    w = df
-    if partition_by:
-        w = df.repartition(*[F.col(c) for c in partition_by])
-    writer = w.write.mode(mode).option("compression", "zstd")
+    columns, so readers prune partitions. Rows are rebalanced by the same columns:
+    small values share a task, and a value that holds most rows is split over
+    several tasks by its size (``spark.sql.adaptive.advisoryPartitionSizeInBytes``);
+    no file has more than ``rows_per_file`` rows."""
+    w = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df.hint("rebalance")
+    writer = w.write.mode(mode).option("compression", "zstd").option("maxRecordsPerFile", rows_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
