@@ -4,6 +4,8 @@ seeded evaluation sample and the end-to-end offline evaluation."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -13,7 +15,9 @@ from cadence.operators import baseline, clean, features, knn, metrics
 from cadence.plans.feature_queries import _knn_select, catalogue_knn
 from cadence.plans.registry import query, tracks, vibe
 from cadence.plans.sql import baseline_sql, metrics_sql, with_ctes
+from cadence.session import cut_lineage, ensure_checkpoint_dir
 from cadence.sources import fixtures as fx
+from cadence.sources import sinks
 
 N_EVAL = max(DEFAULTS.k_values)
 KS = DEFAULTS.k_values
@@ -251,4 +255,23 @@ def q_offline_eval(spark, sf):
     return metrics.compare_models(out).select("model", "k", *_r9(_METRIC_COLS))
 
 
+
+@query("evaluation_log", with_ctes(
+    "SELECT 'offline ' || model AS run, 'metric' AS kind, u.name, u.value FROM ("
+    + _OFFLINE_CTES + _OFFLINE_SQL + ") o, LATERAL (SELECT unnest(["
+    + ", ".join(f"'{c}@' || o.k" for c in _METRIC_COLS) + "]) AS name, unnest(["
+    + ", ".join(f"o.{c}" for c in _METRIC_COLS) + "]) AS value) u "
+    "UNION ALL SELECT 'offline ' || m, 'param', p, NULL FROM (SELECT unnest(['content', 'genre_baseline']) AS m), "
+    "(SELECT unnest(['k_values', 'sample']) AS p)", "tracks"))
+def q_evaluation_log(spark, sf):
+    """A10 on E9: the offline evaluation's metrics and parameters, appended to the
+    run log and read back from it."""
+    path = f"{ensure_checkpoint_dir(spark)}/runs-{uuid.uuid4().hex}"
+    found = cut_lineage(q_offline_eval(spark, sf))
+    params = {"k_values": ",".join(map(str, KS)), "sample": DEFAULTS.eval_sample}
+    for model in ("content", "genre_baseline"):
+        sinks.log_run(spark, path, f"offline {model}", sinks.metrics_to_log(found.where(F.col("model") == model).drop("model")), params)
+    return spark.read.parquet(path).select("run", "kind", "name", "value")
+
+
 del Window, features

@@ -157,6 +157,16 @@ WHERE rn = 1""")
 cte("hist", ["interactions_raw", "vibe"], """
 SELECT DISTINCT i.user_id, v.* FROM interactions_raw i JOIN vibe v ON v.track_id = i.track_id""")
 
+cte("tracks_heard", ["interactions_raw", "tracks"], """
+SELECT DISTINCT i.user_id, i.track_id FROM interactions_raw i JOIN tracks t ON t.track_id = i.track_id""")
+
+cte("req", ["interactions_raw", "tracks"], """
+SELECT user_id, track_idx AS seed_idx FROM (
+  SELECT c.user_id, t.track_idx, row_number() OVER (PARTITION BY c.user_id ORDER BY c.n DESC, c.track_id) AS rn
+  FROM (SELECT user_id, track_id, sum(play_count) AS n FROM interactions_raw GROUP BY user_id, track_id) c
+  JOIN tracks t ON t.track_id = c.track_id) r
+WHERE rn = 1""")
+
 cte("profile", ["hist"], "SELECT user_id, count(*) AS n_items, "
     + ", ".join(f"avg({c}) AS {c}" for c in VIBE_FEATURES) + " FROM hist GROUP BY user_id")
 
