@@ -15,9 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadence.llm.common import slices
+
 SEGMENTS = 64
 LEAST_BITS = 1 << 16
-TASK_POSITIONS = 1 << 23
+TASK_POSITIONS = 1 << 21
+SLICE_ITEMS = 1 << 17
 HASHES = 4
 MAX_BITS = 1 << 28
 
@@ -89,7 +92,8 @@ def position_bitmap(hashes: DataFrame, bits: int, least: int = 1) -> np.ndarray:
                 schema=merged_schema)
 
         for batch in batches:
-            for segment, once, more in zip(*(c.to_pylist() for c in batch.columns)):
+            for i, segment in enumerate(batch.column(0).to_pylist()):
+                once, more = batch.column(1)[i].as_buffer(), batch.column(2)[i].as_buffer()  # views, no copies
                 if segment != now:
                     if now is not None:
                         yield done()
@@ -133,7 +137,7 @@ def shared_items(sets: DataFrame) -> DataFrame:
         position_bitmap(sets.select(F.explode("items").alias("item")), bits, least=2))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1, SLICE_ITEMS)):
             lists = batch.column(1)
             pos = positions(lists.flatten().to_numpy(zero_copy_only=False), bits)
             hit = (shared.value[pos >> 3] >> (7 - (pos & 7)).astype(np.uint8) & 1).all(axis=1)

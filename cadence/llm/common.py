@@ -6,8 +6,11 @@ import io
 import os
 import uuid
 import zipfile
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,6 +73,21 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+SLICE_BYTES = 1 << 22
+
+
+def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of whole rows whose ``column`` (strings or lists) holds
+    at most ``limit`` bytes or values, or one row."""
+    ends = batch.column(column).offsets.to_numpy() if pa.types.is_list(batch.schema.field(column).type) else (
+        np.append(0, np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))))
+    at = 0
+    while at < batch.num_rows:
+        stop = max(at + 1, int(np.searchsorted(ends, ends[at] + limit, side="right")) - 1)
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def to_arrow(columns: dict[str, pa.Array | list], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, schema.field(n).type) for n, c in columns.items()],

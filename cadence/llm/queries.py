@@ -24,7 +24,8 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring_dedup.cut_repeats(documents(spark, sf_dir))
     removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
     return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
-                      F.sha2("kept", 256).alias("kept_sha256"))
+                      F.sha2("kept", 256).alias("kept_sha256")).withColumn(
+        "removed_share", F.when(F.col("n_bytes") > 0, F.col("n_removed") / F.col("n_bytes")).otherwise(0.0))
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
