@@ -114,15 +114,19 @@ def position_bitmap(hashes: DataFrame, bits: int, least: int = 1) -> np.ndarray:
     return bitmap.ravel()
 
 
+def is_set(bitmap: np.ndarray, bits: int, hashes: np.ndarray) -> np.ndarray:
+    """Whether all positions of each 64-bit hash are set."""
+    pos = positions(hashes, bits)
+    return (bitmap[pos >> 3] >> (7 - (pos & 7)).astype(np.uint8) & 1).astype(bool).all(axis=1)
+
+
 def membership(spark: SparkSession, bitmap: np.ndarray, bits: int):
     """Column function over a 64-bit hash: whether all its positions are set."""
     shared = spark.sparkContext.broadcast(bitmap)
 
     @F.pandas_udf("boolean")
     def test(row_hash: pd.Series) -> pd.Series:
-        pos = positions(row_hash.to_numpy(), bits)
-        filled = shared.value[pos >> 3] >> (7 - (pos & 7)).astype(np.uint8) & 1
-        return pd.Series(filled.all(axis=1))
+        return pd.Series(is_set(shared.value, bits, row_hash.to_numpy()))
 
     return test
 

@@ -57,6 +57,13 @@ def band_components(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
     members = items.select("vid", "n", F.explode("bands").alias("bucket"))
     sizes = scratch_table(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
     shared = scratch_table(members.join(sizes, "bucket"), "members")
+    return shared_components(shared, items.select("vid", "bands"), sets_of, percent)
+
+
+def shared_components(shared: DataFrame, bands: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
+                      percent: int) -> DataFrame:
+    """As ``band_components``, from the stored members (vid, n, bucket, size) of
+    buckets with several, and the ``bands`` (vid, bands) of at least these."""
     weights = scratch_table(shared.groupBy("vid").agg(F.sum("size").alias("weight")), "weights")
     hubs = scratch_table(
         shared.join(weights, "vid").groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("vid")).alias("neg"), "n")).alias("top"))
@@ -87,7 +94,7 @@ def band_components(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
     some = placed.select("vid").unionByName(placed.select(F.col("hub").alias("vid"))).distinct()
     some = scratch_table(sets.join(some, "vid", "left_semi"), "some")
     placed = scratch_table(
-        placed.join(shared_items(some), "vid").join(items.select("vid", "bands"), "vid").where(F.col("common") * 100 >= F.col("n") * percent), "common")
+        placed.join(shared_items(some), "vid").join(bands, "vid").where(F.col("common") * 100 >= F.col("n") * percent), "common")
     reach = 1 - percent / 100
     outside = placed.where("outside").select(
         "bucket", F.col("vid").alias("x"), F.col("n").alias("x_n"), F.col("label").alias("x_label"),

@@ -10,12 +10,10 @@ then has no shingle of five words and is none: lines of one to four words beside
 longer ones, and such ends of lines.
 
 Paragraphs are compared by their sets of five-word shingles. Equal sets are one
-class. Sets of at most ``SMALL`` shingles meet in their prefixes: two sets with a
-similarity of ``percent`` share one of their n - ceil(n * percent / 100) + 1 least
-shingles, so no pair is missed. For larger ones a MinHash of independent hash
-functions is cut into bands tuned for recall: with ``rows`` coordinates a band,
-``tune_bands`` gives as many bands as keep the chance of missing a pair at the
-threshold below ``miss``. Paragraphs that meet are confirmed by the exact Jaccard
+class. The MinHash of a set, of whatever size, is cut into bands tuned for
+recall: with ``rows`` coordinates a band, ``tune_bands`` gives as many bands as keep
+the chance of missing a pair at the threshold below ``miss``. Paragraphs whose sets
+share a bucket are confirmed by the exact Jaccard
 similarity of their sets (``linking``), linked paragraphs form components, and of
 each component the first occurrence stays: whole lines come before passages of
 lines, then the smallest doc_id, then the place in the text. Passages of a line
@@ -31,7 +29,6 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,19 +36,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.bloom import maybe_in
-from cadence.llm.common import fresh, keyed_texts, scratch_table, ship_package, whole_text
-from cadence.llm.linking import band_components
-from cadence.llm.near_dedup import band_hashes
-from cadence.llm.shingles import WORDS, mix, numbered, set_key, shingle_sets
+from cadence.llm.bloom import filter_bits, is_set, maybe_in, membership, position_bitmap
+from cadence.llm.common import fresh, keyed_texts, scratch_table, ship_package, slices, whole_text
+from cadence.llm.linking import shared_components
+from cadence.llm.shingles import LOWER, WORDS, key_terms, mix, numbered, rolled_hashes, set_key, shingle_sets, word_spans
 
 LONG = 64
-SMALL = 50
 PERCENT = 80
 ROWS = 3
-MISS = 1e-5
-SLICE = 256
-_PREFIX = numbered(1, 42)
+MISS = 0.005
+GROUP_BYTES = 1 << 20
+BLOCK = 1 << 17
 
 
 def tune_bands(percent: int = PERCENT, rows: int = ROWS, miss: float = MISS) -> int:
@@ -60,101 +55,204 @@ def tune_bands(percent: int = PERCENT, rows: int = ROWS, miss: float = MISS) ->
     return math.ceil(math.log(miss) / math.log(1 - (percent / 100) ** rows))
 
 
-def minhash(shingles: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    """Smallest value of each seeded hash function over a set."""
-    out = mix(shingles[:1024, None] ^ seeds).min(axis=0)
-    for i in range(1024, len(shingles), 1024):
-        np.minimum(out, mix(shingles[i:i + 1024, None] ^ seeds).min(axis=0), out=out)
-    return out
-
-
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _END = re.compile(r"""[.!?…。！？]['")\]”’»」』.!?…]*$""")
 _SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
-def passages(line: str) -> tuple[int, list[tuple[int, int]]]:
-    """The number of words, and (start, stop) of the passages of a line."""
-    words = [(m.start(), m.end(), m[0]) for m in _WORD.finditer(line)]
-    out, first, ended = [], 0, -1
-    for i, (_, stop, word) in enumerate(words):
-        ends = _END.search(word) is not None
-        if i + 1 == len(words) or (ends and i - ended >= WORDS):
-            cuts = [i]
-            if i - first >= LONG:
-                cuts = [j for j in range(first + 1, i)
-                        if zlib.crc32(f"{words[j - 1][2]} {words[j][2]}".encode("utf-8", "surrogatepass")) % 16 == 0] + cuts
-            for j in cuts:
-                if j - first >= WORDS - 1:
-                    out.append((words[first][0], words[j][1]))
-                first = j + 1
-        if ends:
-            ended = i
-    return len(words), out
-
-
-def units(text: str) -> list[tuple[int, int, int, bool]]:
-    """(line number, start, stop, passage) in code points of every paragraph."""
-    out, at = [], 0
-    run, run_words = None, 0  # lines of fewer than WORDS words since a longer one
-    for number, line in enumerate(text.split("\n")):
-        n, parts = passages(line)
-        stop = at + len(line)
-        if 0 < n < WORDS:
-            run, run_words = (*(run[:2] if run else (number, at)), stop, False), run_words + n
-        elif n:
-            if run_words >= WORDS:
-                out.append(run)
-            run, run_words = None, 0
-            out.append((number, at, stop, False))
-            if len(parts) > 1 or any(b - a < len(line.strip(_SPACES)) for a, b in parts):
-                out += [(number, at + a, at + b, True) for a, b in parts]
-        at = stop + 1
-    if run_words >= WORDS:
-        out.append(run)
-    return out
-
-
-def buckets(shingles: np.ndarray, seeds: np.ndarray, bands: int, rows: int, percent: int) -> np.ndarray:
-    """The buckets of a sorted set. None, if only an equal set is similar enough;
-    sets of up to 100 / percent times SMALL that may link to a larger one have
-    both kinds."""
-    n = len(shingles)
-    if n * (100 - percent) < percent:
-        return np.empty(0, np.int64)
-    found = []
-    if n <= SMALL:
-        found.append(mix(shingles[:n - -(-n * percent // 100) + 1] ^ _PREFIX).view(np.int64))
-    if n * 100 >= SMALL * percent:
-        found.append(band_hashes(minhash(shingles, seeds), bands, rows))
-    return np.concatenate(found)
-
-
-def paragraph_rows(texts: DataFrame, bands: int, rows: int, percent: int) -> DataFrame:
+def _codes(marks: str) -> list[int]:
+    return [int.from_bytes(c.encode(), "big") for c in marks]
+
+
+def _sentence_ends(data: np.ndarray, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Which words end a sentence, as ``_END`` has it."""
+    last = data[stop - 1].astype(np.int64)
+    pair = np.where(stop - first > 1, data[np.maximum(stop - 2, 0)], 0).astype(np.int64) << 8 | last
+    three = np.where(stop - first > 2, data[np.maximum(stop - 3, 0)], 0).astype(np.int64) << 16 | pair
+    ends = np.isin(last, _codes(".!?")) | np.isin(three, _codes("…。！？"))
+    closed = np.isin(last, _codes("'\")]")) | np.isin(pair, _codes("»")) | np.isin(three, _codes("”’」』"))
+    for i in np.flatnonzero(closed).tolist():  # a few words end with a quote or bracket
+        ends[i] = _END.search(data[first[i]:stop[i]].tobytes().decode("utf-8", "surrogatepass")) is not None
+    return ends
+
+
+class Units:
+    """The paragraphs of a group of texts: parallel arrays text (number in the
+    group), paragraph (line number), start, stop (code points), passage, w0, w1
+    (range of the group's words), n (distinct shingles), key_a, key_b; and the
+    group's shingles ``rolled``, of which a paragraph has those from w0 to w1 - WORDS."""
+
+    def __init__(self, group: list[bytes]):
+        data = np.frombuffer(b"\n".join(group) + b"\n", np.uint8)
+        begins = np.cumsum([0] + [len(g) + 1 for g in group])[:-1]
+        first, stop, words = word_spans(data)
+        breaks = np.flatnonzero(data == 10)
+        line_text = np.searchsorted(begins, breaks, side="right") - 1
+        line_begin = np.append(0, breaks[:-1] + 1)
+        line_no = np.arange(len(breaks)) - np.searchsorted(breaks, begins)[line_text]
+        line = np.searchsorted(breaks, first)
+        count = np.bincount(line, minlength=len(breaks))
+        w0 = np.cumsum(count) - count
+
+        full = np.flatnonzero(count >= WORDS)
+        parts, part_line = self._passages(data, first, stop, words, line, count, w0)
+        run_first, run_last = self._runs(count, line_text, w0)
+
+        # a paragraph as (line that names it, first byte, byte after the last, passage, words)
+        named = np.concatenate([full, run_first, part_line])
+        self.w0 = np.concatenate([w0[full], w0[run_first], parts[:, 0]])
+        self.w1 = np.concatenate([w0[full] + count[full], w0[run_last] + count[run_last], parts[:, 1]])
+        begin = np.concatenate([line_begin[full], line_begin[run_first], first[parts[:, 0]] if len(parts) else parts[:, 0]])
+        end = np.concatenate([breaks[full], breaks[run_last], stop[parts[:, 1] - 1] if len(parts) else parts[:, 1]])
+        self.text, self.paragraph = line_text[named], line_no[named]
+        point = np.append(0, np.cumsum((data & 0xC0) != 0x80))
+        self.start, self.stop = point[begin] - point[begins[self.text]], point[end] - point[begins[self.text]]
+        self.passage = np.arange(len(named)) >= len(full) + len(run_first)
+        self.rolled = rolled_hashes(words)
+        self._keys()
+
+    @staticmethod
+    def _passages(data, first, stop, words, line, count, w0):
+        """(w0, w1) and line of the passages, of lines that are cut."""
+        n = len(first)
+        if not n:
+            return np.empty((0, 2), np.int64), np.empty(0, np.int64)
+        ends = np.flatnonzero(_sentence_ends(data, first, stop))
+        before = np.append(-1, ends[:-1])[:len(ends)]
+        before = np.maximum(before, w0[line[ends]] - 1)
+        cut = np.zeros(n, bool)
+        cut[ends[ends - before >= WORDS]] = True
+        cut[(w0 + count - 1)[count > 0]] = True
+        last = np.flatnonzero(cut)
+        begin = np.append(0, last[:-1] + 1)
+        part = np.repeat(np.arange(len(last)), last - begin + 1)
+        pair = np.append(np.uint64(1), mix(words[:-1] * _PAIR + words[1:])) % np.uint64(16)
+        at = np.arange(n)
+        cut |= (last - begin >= LONG)[part] & (at > begin[part]) & (at < last[part]) & (pair == 0)
+        last = np.flatnonzero(cut)
+        begin = np.append(0, last[:-1] + 1)
+        kept = last - begin >= WORDS - 1
+        last, begin = last[kept], begin[kept]
+        own = line[last]
+        several = np.bincount(own, minlength=len(count))[own] > 1
+        shown = several | (last - begin + 1 < count[own])
+        return np.stack([begin[shown], last[shown] + 1], 1), own[shown]
+
+    @staticmethod
+    def _runs(count, line_text, w0):
+        """First and last lines of the runs of lines of fewer than WORDS words that
+        have WORDS in all; lines without words do not end a run."""
+        held = np.flatnonzero(count)
+        short = count[held] < WORDS
+        new = np.append(True, (line_text[held][1:] != line_text[held][:-1]) | ~short[1:] | ~short[:-1])[:len(held)]
+        head = np.flatnonzero(new & short)
+        tail = np.flatnonzero(np.append(new[1:], True)[:len(held)] & short)
+        first, last = held[head], held[tail]
+        enough = w0[last] + count[last] - w0[first] >= WORDS
+        return first[enough], last[enough]
+
+    def _keys(self):
+        """Sizes and keys from running sums; paragraphs with a shingle that stands
+        more than once in the group are counted one by one."""
+        a, b = self.w0, self.w1 - WORDS + 1
+        self.n = b - a
+        keys = []
+        for terms in key_terms(self.rolled):
+            sums = np.append(np.uint64(0), np.cumsum(terms, dtype=np.uint64))
+            keys.append((sums[b] - sums[a]).view(np.int64))
+        ordered = np.sort(self.rolled)
+        repeated = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+        if len(repeated):
+            at = np.minimum(np.searchsorted(repeated, self.rolled), len(repeated) - 1)
+            many = np.append(0, np.cumsum(repeated[at] == self.rolled))
+            for i in np.flatnonzero(many[b] - many[a] > 1).tolist():
+                one = np.unique(self.rolled[a[i]:b[i]])
+                self.n[i] = len(one)
+                keys[0][i], keys[1][i] = set_key(one)
+        self.key_a, self.key_b = keys
+
+    def bands(self, chosen: np.ndarray, bands: int, rows: int) -> np.ndarray:
+        """(chosen, bands) bucket numbers: the MinHash of independent multiplicative
+        hash functions, band by band."""
+        out = np.empty((len(chosen), bands), np.int64)
+        size = self.w1[chosen] - WORDS + 1 - self.w0[chosen]
+        stops = np.cumsum(size)
+        factor, shift = numbered(bands * rows, 41) | np.uint64(1), numbered(bands * rows, 42)
+        join = numbered(rows, 13) | np.uint64(1)
+        i = 0
+        while i < len(chosen):
+            j = max(i + 1, int(np.searchsorted(stops, (stops[i - 1] if i else 0) + BLOCK)))
+            begin = np.cumsum(size[i:j]) - size[i:j]
+            at = np.arange(int(size[i:j].sum())) - np.repeat(begin - self.w0[chosen[i:j]], size[i:j])
+            values = self.rolled[at]
+            for band in range(bands):
+                total = np.zeros(j - i, np.uint64)
+                for row in range(rows):
+                    k = band * rows + row
+                    total += mix(np.minimum.reduceat(values * factor[k] + shift[k], begin)) * join[row]
+                out[i:j, band] = mix(total + np.uint64(band)).view(np.int64)
+            i = j
+        return out
+
+
+_PAIR = numbered(1, 43)[0] | np.uint64(1)
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, Units]]:
+    """(doc_ids, text_hashes, units) of texts of a bounded number of bytes, or one."""
+    for whole in batches:
+        for part in slices(whole, 2, GROUP_BYTES):
+            doc_ids, hashes, texts = (c.to_pylist() for c in part.columns)
+            yield doc_ids, hashes, Units([t.encode("utf-8", "surrogatepass").translate(LOWER) for t in texts])
+
+
+def _rid(doc_id, text_hash, start, passage):
+    """A number that nearly always names one paragraph; the same in Spark as ``_rid_column``."""
+    return text_hash ^ doc_id << np.int64(24) ^ (start << np.int64(1) | passage)
+
+
+def _rid_column():
+    place = F.shiftleft("one.start", 1).bitwiseOR(F.col("one.passage").cast("bigint"))
+    return F.col("one.text_hash").bitwiseXOR(F.shiftleft(F.coalesce("one.doc_id", F.lit(0).cast("bigint")), 24)).bitwiseXOR(place)
+
+
+def paragraph_rows(texts: DataFrame) -> DataFrame:
     """One row per paragraph of (doc_id, text_hash, text)."""
-    schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "text_hash", "paragraph", "start", "stop")]
-                       + [("passage", pa.bool_())] + [(n, pa.int64()) for n in ("n", "key_a", "key_b")]
-                       + [("bands", pa.list_(pa.int64()))])
+    names = ["paragraph", "start", "stop", "passage", "n", "key_a", "key_b"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds = numbered(bands * rows, 41)
-        for whole in batches:
-            for i in range(0, whole.num_rows, SLICE):
-                out, parts = [], []
-                for doc_id, text_hash, text in zip(*(c.to_pylist() for c in whole.slice(i, SLICE).columns)):
-                    for unit in units(text):
-                        out.append((doc_id, text_hash, *unit))
-                        parts.append(text[unit[1]:unit[2]])
-                if not out:
-                    continue
-                sets = list(shingle_sets(parts))
-                keys = [set_key(s) for s in sets]
-                found = [buckets(s, seeds, bands, rows, percent) for s in sets]
-                columns = [*zip(*out), [len(s) for s in sets], *zip(*keys), found]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+        for doc_ids, hashes, units in _groups(batches):
+            own = pa.array(units.text)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc_ids, pa.int64()).take(own), pa.array(hashes, pa.int64()).take(own),
+                 *(pa.array(getattr(units, n)) for n in names)], names=["doc_id", "text_hash", *names])
 
     return texts.mapInArrow(run, "doc_id long, text_hash long, paragraph long, start long, stop long, passage boolean, "
-                                 "n long, key_a long, key_b long, bands array<long>")
+                                 "n long, key_a long, key_b long")
+
+
+def bucket_rows(texts: DataFrame, repeated: tuple, chosen: tuple, bands: int, rows: int) -> DataFrame:
+    """(key_a, key_b, n, bands) of one paragraph of every class, and of a few more.
+    ``repeated``: (bitmap, bits) of the key_a that more than one paragraph has;
+    ``chosen``: (bitmap, bits) of the numbers of the paragraphs that stand for such."""
+    spark = texts.sparkSession
+    shared = [(spark.sparkContext.broadcast(bitmap), bits) for bitmap, bits in (repeated, chosen)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc_ids, hashes, units in _groups(batches):
+            own = units.text
+            doc = np.array([d or 0 for d in doc_ids], np.int64)[own]
+            rid = _rid(doc, np.array(hashes, np.int64)[own], units.start, units.passage.astype(np.int64))
+            (many, many_bits), (ones, ones_bits) = ((b.value, bits) for b, bits in shared)
+            keep = np.flatnonzero(~is_set(many, many_bits, units.key_a) | is_set(ones, ones_bits, rid))
+            for at in range(0, len(keep), 1 << 15):
+                some = keep[at:at + (1 << 15)]
+                found = units.bands(some, bands, rows)
+                offsets = pa.array(np.arange(0, found.size + 1, bands, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(units.key_a[some]), pa.array(units.key_b[some]), pa.array(units.n[some]),
+                     pa.ListArray.from_arrays(offsets, pa.array(found.ravel()))], names=["key_a", "key_b", "n", "bands"])
+
+    return texts.mapInArrow(run, "key_a long, key_b long, n long, bands array<long>")
 
 
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
@@ -166,14 +264,35 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ship_package(docs.sparkSession)
     bands = tune_bands(percent, rows, miss)
     texts = keyed_texts(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    listed = scratch_table(paragraph_rows(texts, bands, rows, percent), "paragraphs")
+    listed = scratch_table(paragraph_rows(texts), "paragraphs")
     place = F.struct("passage", F.col("doc_id").isNull().alias("unknown"), "doc_id", "paragraph", "start", "stop",
                      "text_hash")
+    # Paragraphs whose set nobody else has are classes of their own and are not shuffled.
+    bits = filter_bits(listed.count())
+    repeated = position_bitmap(listed.select("key_a"), bits, least=2)
+    many = membership(docs.sparkSession, repeated, bits)
+    grouped = scratch_table(
+        listed.where(many("key_a")).groupBy("key_a", "key_b")
+        .agg(F.count(F.lit(1)).alias("size"), F.first("n").alias("n"), F.min(place).alias("one")), "paragraph-classes")
+    single = listed.where(~many("key_a")).select("key_a", "key_b", F.lit(1).cast("bigint").alias("size"), "n", place.alias("one"))
+
+    rids = scratch_table(grouped.select(_rid_column().alias("rid")), "rids")
+    rid_bits = filter_bits(rids.count())
+    chosen = (position_bitmap(rids, rid_bits), rid_bits)
+    banded = bucket_rows(texts, (repeated, bits), chosen, bands, rows).where(F.col("n") * (100 - percent) >= percent)
+    members = banded.select("key_a", "key_b", "n", F.explode("bands").alias("bucket"))
+    # Only buckets with several members are joined; of the others not even the class is shuffled.
+    full = scratch_table(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket"), "full")
+    some = scratch_table(members.where(maybe_in(full)("bucket")).join(full, "bucket").distinct(), "bucket-members")
+    near = maybe_in(some.select("key_a"))
     classes = scratch_table(
-        listed.groupBy("key_a", "key_b")
-        .agg(F.count(F.lit(1)).alias("size"), F.first("n").alias("n"), F.first("bands").alias("bands"),
-             F.min(place).alias("one"))
-        .withColumn("vid", F.monotonically_increasing_id()), "paragraph-classes")
+        grouped.where((F.col("size") > 1) | near("key_a")).unionByName(single.where(near("key_a")))
+        .withColumn("vid", F.monotonically_increasing_id()), "live-classes")
+    held = scratch_table(some.drop("n").join(classes.select("key_a", "key_b", "vid", "n"), ["key_a", "key_b"])
+                         .select("vid", "n", "bucket"), "held")
+    sizes = scratch_table(held.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
+    shared = scratch_table(held.join(sizes, "bucket"), "members")
+    own_bands = scratch_table(shared.groupBy("vid").agg(F.sort_array(F.collect_list("bucket")).alias("bands")), "bands")
 
     def sets_of(vids: DataFrame) -> DataFrame:
         wanted = scratch_table(
@@ -187,12 +306,14 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         holders = holders.groupBy("w_id", "w_hash").agg(F.first("text").alias("text"), F.first("wanted").alias("wanted"))
         return unit_sets(holders.select("text", "wanted.vid", "wanted.start", "wanted.stop"))
 
-    labels = band_components(classes.select("vid", "n", "bands"), sets_of, percent)
+    labels = shared_components(shared, own_bands, sets_of, percent)
     named = scratch_table(
         classes.select("vid", "key_a", "key_b", "size").join(labels, "vid", "left")
         .where(F.col("label").isNotNull() | (F.col("size") > 1))
         .select("key_a", "key_b", F.coalesce("label", "vid").alias("label")), "named")
-    found = scratch_table(listed.drop("bands", "n").join(named, ["key_a", "key_b"]).drop("key_a", "key_b"), "found")
+    found = scratch_table(
+        listed.drop("n").where(maybe_in(named.select("key_a"))("key_a")).join(named, ["key_a", "key_b"])
+        .drop("key_a", "key_b"), "found")
     lines = found.where("not passage")
     line_first = scratch_table(lines.groupBy("label").agg(F.min(place).alias("first")), "line-first")
     gone = scratch_table(

@@ -15,7 +15,7 @@ import numpy as np
 
 WORDS = 5
 GROUP_BYTES = 1 << 20
-_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -47,11 +47,17 @@ _IS_SPACE = _space()
 
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first byte, hash) of every word in ``data``."""
+    first, _, hashes = word_spans(data)
+    return first, hashes
+
+
+def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, byte after the last, hash) of every word in ``data``."""
     inside = ~_IS_SPACE[data]
     edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
     first, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(first):
-        return first, np.empty(0, np.uint64)
+        return first, stop, np.empty(0, np.uint64)
     length = stop - first
     letters = np.flatnonzero(inside)
     begin = np.cumsum(length) - length
@@ -59,7 +65,15 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     longest = int(length.max())
     factor = _PLACE if longest <= len(_PLACE) else numbered(longest, 2) | np.uint64(1)
     sums = np.add.reduceat(_BYTE[data[letters]] * factor[place], begin)
-    return first, mix(sums + length.astype(np.uint64))
+    return first, stop, mix(sums + length.astype(np.uint64))
+
+
+def rolled_hashes(words: np.ndarray) -> np.ndarray:
+    """The hash of the shingle that starts at each word, for all with WORDS words."""
+    rolled = np.zeros(max(0, len(words) - WORDS + 1), np.uint64)
+    for j in range(WORDS):
+        rolled += words[j:len(words) - WORDS + 1 + j] * _ORDER[j]
+    return mix(rolled)
 
 
 def shingle_lists(texts: list[str]) -> Iterator[np.ndarray]:
@@ -67,7 +81,7 @@ def shingle_lists(texts: list[str]) -> Iterator[np.ndarray]:
     group: list[bytes] = []
     size = 0
     for text in texts:
-        data = text.encode("utf-8", "surrogatepass").translate(_LOWER)
+        data = text.encode("utf-8", "surrogatepass").translate(LOWER)
         if group and size + len(data) > GROUP_BYTES:
             yield from _group_lists(group)
             group, size = [], 0
@@ -86,10 +100,7 @@ def _group_lists(group: list[bytes]) -> Iterator[np.ndarray]:
     first, words = word_hashes(np.frombuffer(b" ".join(group) + b" ", np.uint8))
     ends = np.cumsum([len(g) + 1 for g in group])
     cut = np.searchsorted(first, ends)
-    rolled = np.zeros(max(0, len(words) - WORDS + 1), np.uint64)
-    for j in range(WORDS):
-        rolled += words[j:len(words) - WORDS + 1 + j] * _ORDER[j]
-    rolled = mix(rolled)
+    rolled = rolled_hashes(words)
     at = 0
     for stop in cut.tolist():
         n = stop - at
@@ -103,8 +114,15 @@ def _group_lists(group: list[bytes]) -> Iterator[np.ndarray]:
         at = stop
 
 
+_KEY_A, _KEY_B = np.uint64(0x632BE59BD9B4E019), np.uint64(0xD1B54A32D192ED03)
+
+
+def key_terms(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What each member adds to the two halves of a set's key."""
+    return mix(shingles + _KEY_A), mix(shingles ^ _KEY_B)
+
+
 def set_key(shingles: np.ndarray) -> tuple[int, int]:
     """128 bits that name a set: two sums of scattered members."""
-    a = mix(shingles + np.uint64(0x632BE59BD9B4E019)).sum(dtype=np.uint64)
-    b = mix(shingles ^ np.uint64(0xD1B54A32D192ED03)).sum(dtype=np.uint64)
+    a, b = (t.sum(dtype=np.uint64) for t in key_terms(shingles))
     return int(a.astype(np.int64)), int(b.astype(np.int64))
