@@ -106,11 +106,19 @@ def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
 _SHIPPED: set[str] = set()
 
 
+#: Rows of a batch between the JVM and Python: documents are long, Spark's default of 10,000 holds too many bytes.
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the Python workers this package, once per application: a zip in the
     shared folder, added as a Python file. Worker-side caches live in modules,
-    so the functions are imported there rather than sent by value."""
+    so the functions are imported there rather than sent by value. A session that
+    leaves Arrow batches at Spark's default size gets smaller ones."""
     sc = spark.sparkContext
+    if int(spark.conf.get(_BATCH_SETTING)) == 10_000:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
     if sc.applicationId in _SHIPPED:
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
