@@ -25,8 +25,8 @@ N_RANKED = 5 * DEFAULTS.baseline_n
 
 
 def als_matrix(spark, sf):
-    return _memo("als_matrix", spark, sf, lambda: inter.interaction_matrix(
-        counts(spark, sf), DEFAULTS.min_interactions).cache())
+    return _memo("als_matrix", spark, sf, lambda: cut_lineage(inter.interaction_matrix(
+        counts(spark, sf), DEFAULTS.min_interactions)))
 
 
 def als_model(spark, sf):

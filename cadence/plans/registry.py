@@ -46,6 +46,11 @@ def r9_sql(c: str, src: str | None = None) -> str:
 _MEMO: dict = {}
 
 
+def forget() -> None:
+    """Drop the plans and models kept so far."""
+    _MEMO.clear()
+
+
 def _memo(name: str, spark: SparkSession, sf_dir: str, build):
     """Reuse a built plan (not its data) within one session: the one-row
     statistics baked into it are computed once."""
