@@ -36,8 +36,10 @@ def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def scratch_dir(spark: SparkSession, tag: str) -> str:
-    """A new folder name below the session's shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    """A new folder name below the session's shared checkpoint folder, with the
+    scheme of its file system (Hadoop's default one for a bare path)."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}")
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(where).toString()
 
 
 def scratch_table(df: DataFrame, tag: str) -> DataFrame:
