@@ -7,6 +7,11 @@ the last returns the pieces of packed sequences.
 
 Toxic texts go, of equal texts one stays, of linked near copies one stays,
 secrets are replaced in the texts, and what is left is packed.
+
+In every stage a NULL text counts as empty (and stays NULL while the row is kept),
+NULLs in other columns pass through, texts are read whole, ties go as the stage's
+operator states, repeated rows are copies of one another, columns of any name pass
+through, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,24 +27,29 @@ NEAR_PERCENT = 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below the threshold."""
+    """Documents whose toxicity score is below the threshold, repeated rows each
+    by its own text. Empty texts have the score of a text without features; without
+    labels of both kinds the model scores all texts alike."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     (score,) = fresh(docs, "toxicity")
     return toxicity.with_scores(docs, model, score).where(F.col(score) < toxicity.THRESHOLD).drop(score)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of texts equal without white space."""
+    """One document of every group of texts equal without white space: the most
+    code points, then the smallest doc_id (NULL last); all empty texts are one group."""
     return exact_dedup.drop_duplicates(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies."""
+    """One document of every group of near copies, the one with the smallest
+    doc_id. Texts without words are linked with nothing and stay."""
     return near_dedup.drop_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, with its secrets replaced by a mark; n_chars follows."""
+    """Every document, with its secrets replaced by a mark; n_chars follows
+    where it and the text are known."""
     redacted = secret_scan.redact(docs)
     if "n_chars" not in docs.columns:
         return redacted
@@ -49,7 +59,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the packed token sequences."""
+    """The pieces of the packed token sequences; an empty text is one piece of its
+    end token."""
     return packing.pack(docs)
 
 
