@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from cadence.config import AUDIO_FEATURES
+from cadence.config import AUDIO_FEATURES, RENAME_MAP
 from cadence.operators.clean import union_sources
 
 log = logging.getLogger(__name__)
@@ -24,26 +24,46 @@ log = logging.getLogger(__name__)
 REQUIRED_TRACK_COLUMNS = ["track_id", "track_name"] + AUDIO_FEATURES
 
 
-def _csv(spark: SparkSession, root: str, name_glob: str) -> DataFrame:
-    """Quoted fields may hold commas, doubled quotes and line breaks, so a file is
-    one split; ``source_file`` and ``source_row`` give every row its place."""
-    df = (spark.read.option("header", True).option("inferSchema", True)
-          .option("recursiveFileLookup", True).option("pathGlobFilter", name_glob)
-          .option("mode", "PERMISSIVE").option("multiLine", True).option("quote", '"').option("escape", '"').csv(root))
-    return df.withColumn("source_file", F.col("_metadata.file_path")).withColumn(
-        "source_row", F.monotonically_increasing_id())
+#: Types of a raw catalogue's columns by standardised name; other columns are text (A1).
+TRACK_TYPES = ({c: "double" for c in AUDIO_FEATURES}
+               | {"popularity": "int", "key": "int", "mode": "int", "time_signature": "int", "duration_ms": "bigint"})
+
+
+def _csv(spark: SparkSession, root: str, name_glob: str, types: dict[str, str] | None, multi_line: bool) -> DataFrame:
+    """Quoted fields may hold commas and doubled quotes, and with ``multi_line`` also
+    line breaks, which makes a file one split. With ``types`` nothing is inferred:
+    columns are read as text, and those whose standardised name has a type are cast
+    (NULL where the text is none), so all folders have the same types; a file whose
+    header differs from the first one's is an error. ``source_file`` and
+    ``source_row`` give every row its place."""
+    df = (spark.read.option("header", True).option("inferSchema", types is None).option("enforceSchema", types is None)
+          .option("recursiveFileLookup", True).option("pathGlobFilter", name_glob).option("mode", "PERMISSIVE")
+          .option("multiLine", multi_line).option("quote", '"').option("escape", '"').csv(root))
+    place = [F.col("_metadata.file_path").alias("source_file"), F.monotonically_increasing_id().alias("source_row")]
+    if types is None:
+        return df.select("*", *place)
+
+    def typed(name: str):
+        plain = name.strip().lower()
+        kind = types.get(RENAME_MAP.get(plain, plain))
+        return F.expr(f"try_cast(`{name}` AS {kind})").alias(name) if kind else F.col(f"`{name}`")
+
+    return df.select(*map(typed, df.columns), *place)
 
 
 def read_csv_tree(spark: SparkSession, root: str, name_glob: str = "*.csv",
                   fallback_glob: str | None = "*.csv", required: bool = True,
-                  schema: str | None = None) -> DataFrame | None:
+                  schema: str | None = None, types: dict[str, str] | None = None,
+                  multi_line: bool = True) -> DataFrame | None:
     """A1 / A3: every file below ``root`` whose name matches ``name_glob``;
     when none does, any file matching ``fallback_glob``. A missing input is
     an error when ``required``; otherwise an empty frame of ``schema`` (or
-    ``None`` without a schema) is returned."""
+    ``None`` without a schema) is returned. ``types`` (as ``TRACK_TYPES``) replaces
+    the inference of types, which reads all files once more; ``multi_line`` off
+    lets Spark split large files whose fields hold no line breaks."""
     for glob in [name_glob] + ([fallback_glob] if fallback_glob and fallback_glob != name_glob else []):
         try:
-            return _csv(spark, root, glob)
+            return _csv(spark, root, glob, types, multi_line)
         except AnalysisException as e:  # no matching file: Spark cannot infer a schema
             log.info("no %s below %s: %s", glob, root, str(e).splitlines()[0])
     if required:

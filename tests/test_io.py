@@ -109,3 +109,24 @@ def test_first_row_of_a_file_wins(spark, tmp_path):
     for n in (1, 5):
         kept = dedupe_tracks(df.repartition(n)).collect()
         assert sorted(r.track_name for r in kept) == ["first", "other"]
+
+
+def test_csv_with_given_types(spark, tmp_path):
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x" / "t.csv").write_text("track_id,Energy,key,track_name\n007,0.5,3,one\n8,1,,two\n")
+    (tmp_path / "t.csv").write_text('track_id,Energy,key,track_name\nabc,loud,4.5,"a, b"\n')
+    df = files.read_csv_tree(spark, str(tmp_path), "t.csv", types=files.TRACK_TYPES, multi_line=False)
+    assert dict(df.dtypes)["Energy"] == "double" and dict(df.dtypes)["key"] == "int"
+    rows = {r.track_id: (r.Energy, r.key, r.track_name) for r in df.collect()}
+    assert rows == {"007": (0.5, 3, "one"), "8": (1.0, None, "two"), "abc": (None, None, "a, b")}
+    (tmp_path / "u").mkdir()
+    (tmp_path / "u" / "t.csv").write_text("track_id,track_name,Energy,key\n9,three,0.1,1\n")
+    with pytest.raises(Exception):
+        files.read_csv_tree(spark, str(tmp_path), "t.csv", types=files.TRACK_TYPES).collect()
+
+
+def test_two_files_of_one_folder(spark, tmp_path):
+    (tmp_path / "tracks.csv").write_text("track_id,track_name\n1,a\n")
+    (tmp_path / "history.csv").write_text("user,track\nu,1\nv,1\n")
+    tracks, history = files.read_tracks_and_history(spark, str(tmp_path), "tracks.csv", "history.csv")
+    assert tracks.count() == 1 and history.count() == 2 and "user" in history.columns
