@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import os
 import uuid
@@ -75,6 +76,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def give_back() -> None:
+    """Return the memory that earlier work of this Python worker has freed to the
+    system: workers are reused from stage to stage, and their allocators keep it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 SLICE_BYTES = 1 << 22
 
 

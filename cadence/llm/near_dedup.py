@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.llm.bloom import maybe_in
-from cadence.llm.common import fresh, keyed_texts, scratch_table, ship_package, slices, whole_text
+from cadence.llm.common import fresh, give_back, keyed_texts, scratch_table, ship_package, slices, whole_text
 from cadence.llm.linking import band_components
 from cadence.llm.shingles import mix, numbered, set_key, shingle_sets
 
@@ -74,6 +74,7 @@ def signatures(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                         ("key_b", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in (part for whole in batches for part in slices(whole, 2)):
             n, keys, buckets = [], [], []
             for s in shingle_sets(batch.column(2).to_pylist()):

@@ -38,13 +38,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from cadence.llm.common import keyed_texts, ship_package, to_arrow
+from cadence.llm.common import give_back, keyed_texts, ship_package, to_arrow
 from cadence.llm.tokens import encoder, vocabulary
 
 TIERS = (512, 1024, 2048, 4096)
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 STEP_TOKENS = 16 * 4096
+#: Words whose ids a worker keeps.
+CACHE_WORDS = 300_000
 BLOCK_TOKENS = 1 << 21
 
 Piece = tuple[int, int, int]  # length, document, start
@@ -193,7 +195,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tiers:
     schema = SCHEMA.append(pa.field("ids", pa.list_(pa.int32()))) if with_ids else SCHEMA
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path, "words")
+        give_back()
+        enc = encoder(path, "words", CACHE_WORDS)
         base = TaskContext.get().partitionId() << 40
         sequence, group = base, base
         ids: list[int | None] = []

@@ -45,7 +45,7 @@ LONG = 64
 PERCENT = 80
 ROWS = 3
 MISS = 0.005
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 18
 BLOCK = 1 << 17
 
 

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 
 WORDS = 5
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 18
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 

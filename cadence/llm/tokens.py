@@ -45,8 +45,10 @@ _LETTERS = {b: c for b, c in enumerate(_byte_letters())}
 class _Chunks(dict):
     """Chunk -> packed ids, filled on demand."""
 
-    def __init__(self, tokenizer, typecode: str, prefix: str = "", lower: bool = False, marks: dict | None = None):
+    def __init__(self, tokenizer, typecode: str, prefix: str = "", lower: bool = False, marks: dict | None = None,
+                 most: int = CACHE_CHUNKS):
         super().__init__()
+        self.most = most
         self.tokenizer, self.typecode, self.prefix, self.lower = tokenizer, typecode, prefix, lower
         self.model = tokenizer.model
         self.marks = self if marks is None else marks
@@ -63,7 +65,7 @@ class _Chunks(dict):
             packed = array(self.typecode, self.tokenizer.encode(
                 self.prefix + chunk, add_special_tokens=False).ids).tobytes()
         if len(chunk) <= LONGEST_CACHED:
-            if len(self) >= CACHE_CHUNKS:
+            if len(self) >= self.most:
                 self.clear()
             self[chunk] = packed
         return packed
@@ -73,15 +75,15 @@ class TextEncoder:
     """Encodes whole texts to packed little-endian ids: two bytes an id when
     the vocabulary fits them, else four."""
 
-    def __init__(self, path: str, cut: str):
+    def __init__(self, path: str, cut: str, most: int = CACHE_CHUNKS):
         from tokenizers import Tokenizer
         tokenizer = Tokenizer.from_file(path)
         small = tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16
         self.dtype, typecode = ("<u2", "H") if small else ("<u4", "I")
         self.spaced = cut == "spaced"
-        self.first = _Chunks(tokenizer, typecode, lower=not self.spaced)
+        self.first = _Chunks(tokenizer, typecode, lower=not self.spaced, most=most)
         if self.spaced:
-            self.rest = _Chunks(tokenizer, typecode, prefix=" ", marks=self.first)
+            self.rest = _Chunks(tokenizer, typecode, prefix=" ", marks=self.first, most=most)
             self.line_feed = self.first["\n"]
 
     def _line(self, line: str) -> bytes:
@@ -102,9 +104,9 @@ class TextEncoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, cut: str) -> TextEncoder:
-    """One encoder per worker and vocabulary file."""
-    return TextEncoder(path, cut)
+def encoder(path: str, cut: str, most: int = CACHE_CHUNKS) -> TextEncoder:
+    """One encoder per worker and vocabulary file, with at most ``most`` chunks kept."""
+    return TextEncoder(path, cut, most)
 
 
 def vocabulary(name: str) -> str:

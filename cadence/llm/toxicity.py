@@ -44,7 +44,7 @@ MIN_RATIO = 1.0
 REGULARISATION = 1e-3
 THRESHOLD = 0.3
 FIT_PARTS = 4
-CHUNK_CHARS = 1 << 19
+CHUNK_CHARS = 1 << 18
 SLICE = 512
 
 
