@@ -39,6 +39,7 @@ RATIO = 5
 #: One run in so many loses a letter (fixed by the contract).
 DAMAGE = 199
 BLOCK = 1024
+SALTS = 16
 _HELD_WORDS = 1 << 18
 _SLICE = 1 << 20
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -179,8 +180,11 @@ def near_pairs(vocabulary: DataFrame) -> DataFrame:
     """(word, near, near_n): all pairs one edit apart, both ways."""
     celled = vocabulary.select("word", "n", _cell().alias("cell"))
     sizes = celled.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    # the sizes are met by (cell, salt), so that a cell with many words is not one task
+    salted = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     blocks = (
-        celled.join(sizes, "cell").withColumn("block", F.pmod(F.xxhash64("word"), "blocks"))
+        celled.withColumn("salt", F.pmod(F.hash("word"), F.lit(SALTS))).join(salted, ["cell", "salt"])
+        .withColumn("block", F.pmod(F.xxhash64("word"), "blocks"))
         .groupBy("cell", "block").agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("rows"))
         .select("cell", "block", F.col("rows.word").alias("words"), F.col("rows.n").alias("ns")))
     shifted = F.explode(F.array(*[
