@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import io
 import os
 import uuid
@@ -51,7 +52,21 @@ def scratch_table(df: DataFrame, tag: str) -> DataFrame:
     path = scratch_dir(spark, tag)
     delete_at_exit(spark, path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._scratch = path
+    return stored
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete scratch tables that nothing reads any more, and let Spark's cleaner
+    drop the shuffles that wrote them (it learns of them by the driver's garbage
+    collection)."""
+    for table in tables:
+        jvm, conf = table.sparkSession.sparkContext._jvm, table.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        where = jvm.org.apache.hadoop.fs.Path(table._scratch)
+        where.getFileSystem(conf).delete(where, True)
+    gc.collect()
+    jvm.System.gc()
 
 
 def delete_at_exit(spark: SparkSession, path: str) -> None:

@@ -36,15 +36,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.bloom import filter_bits, is_set, maybe_in, membership, position_bitmap
-from cadence.llm.common import fresh, keyed_texts, scratch_table, ship_package, slices, whole_text
+from cadence.llm.bloom import filter_bits, maybe_in, membership, position_bitmap
+from cadence.llm.common import discard, fresh, give_back, keyed_texts, scratch_table, ship_package, slices, whole_text
 from cadence.llm.linking import shared_components
 from cadence.llm.shingles import LOWER, WORDS, key_terms, mix, numbered, rolled_hashes, set_key, shingle_sets, word_spans
 
 LONG = 64
 PERCENT = 80
 ROWS = 3
-MISS = 0.005
+MISS = 0.02
 GROUP_BYTES = 1 << 18
 BLOCK = 1 << 17
 
@@ -205,54 +205,29 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, Uni
             yield doc_ids, hashes, Units([t.encode("utf-8", "surrogatepass").translate(LOWER) for t in texts])
 
 
-def _rid(doc_id, text_hash, start, passage):
-    """A number that nearly always names one paragraph; the same in Spark as ``_rid_column``."""
-    return text_hash ^ doc_id << np.int64(24) ^ (start << np.int64(1) | passage)
+def _rid():
+    """A number that nearly always names one paragraph."""
+    place = F.shiftleft("start", 1).bitwiseOR(F.col("passage").cast("bigint"))
+    return F.col("text_hash").bitwiseXOR(F.shiftleft(F.coalesce("doc_id", F.lit(0).cast("bigint")), 24)).bitwiseXOR(place)
 
 
-def _rid_column():
-    place = F.shiftleft("one.start", 1).bitwiseOR(F.col("one.passage").cast("bigint"))
-    return F.col("one.text_hash").bitwiseXOR(F.shiftleft(F.coalesce("one.doc_id", F.lit(0).cast("bigint")), 24)).bitwiseXOR(place)
-
-
-def paragraph_rows(texts: DataFrame) -> DataFrame:
-    """One row per paragraph of (doc_id, text_hash, text)."""
+def paragraph_rows(texts: DataFrame, bands: int, rows: int) -> DataFrame:
+    """One row per paragraph of (doc_id, text_hash, text), with its buckets."""
     names = ["paragraph", "start", "stop", "passage", "n", "key_a", "key_b"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for doc_ids, hashes, units in _groups(batches):
             own = pa.array(units.text)
+            found = units.bands(np.arange(len(units.n)), bands, rows)
+            offsets = pa.array(np.arange(0, found.size + 1, bands, dtype=np.int32))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc_ids, pa.int64()).take(own), pa.array(hashes, pa.int64()).take(own),
-                 *(pa.array(getattr(units, n)) for n in names)], names=["doc_id", "text_hash", *names])
+                 *(pa.array(getattr(units, n)) for n in names), pa.ListArray.from_arrays(offsets, pa.array(found.ravel()))],
+                names=["doc_id", "text_hash", *names, "bands"])
 
     return texts.mapInArrow(run, "doc_id long, text_hash long, paragraph long, start long, stop long, passage boolean, "
-                                 "n long, key_a long, key_b long")
-
-
-def bucket_rows(texts: DataFrame, repeated: tuple, chosen: tuple, bands: int, rows: int) -> DataFrame:
-    """(key_a, key_b, n, bands) of one paragraph of every class, and of a few more.
-    ``repeated``: (bitmap, bits) of the key_a that more than one paragraph has;
-    ``chosen``: (bitmap, bits) of the numbers of the paragraphs that stand for such."""
-    spark = texts.sparkSession
-    shared = [(spark.sparkContext.broadcast(bitmap), bits) for bitmap, bits in (repeated, chosen)]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc_ids, hashes, units in _groups(batches):
-            own = units.text
-            doc = np.array([d or 0 for d in doc_ids], np.int64)[own]
-            rid = _rid(doc, np.array(hashes, np.int64)[own], units.start, units.passage.astype(np.int64))
-            (many, many_bits), (ones, ones_bits) = ((b.value, bits) for b, bits in shared)
-            keep = np.flatnonzero(~is_set(many, many_bits, units.key_a) | is_set(ones, ones_bits, rid))
-            for at in range(0, len(keep), 1 << 15):
-                some = keep[at:at + (1 << 15)]
-                found = units.bands(some, bands, rows)
-                offsets = pa.array(np.arange(0, found.size + 1, bands, dtype=np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(units.key_a[some]), pa.array(units.key_b[some]), pa.array(units.n[some]),
-                     pa.ListArray.from_arrays(offsets, pa.array(found.ravel()))], names=["key_a", "key_b", "n", "bands"])
-
-    return texts.mapInArrow(run, "key_a long, key_b long, n long, bands array<long>")
+                                 "n long, key_a long, key_b long, bands array<long>")
 
 
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
@@ -264,7 +239,7 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ship_package(docs.sparkSession)
     bands = tune_bands(percent, rows, miss)
     texts = keyed_texts(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    listed = scratch_table(paragraph_rows(texts), "paragraphs")
+    listed = scratch_table(paragraph_rows(texts, bands, rows), "paragraphs")
     place = F.struct("passage", F.col("doc_id").isNull().alias("unknown"), "doc_id", "paragraph", "start", "stop",
                      "text_hash")
     # Paragraphs whose set nobody else has are classes of their own and are not shuffled.
@@ -276,10 +251,9 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .agg(F.count(F.lit(1)).alias("size"), F.first("n").alias("n"), F.min(place).alias("one")), "paragraph-classes")
     single = listed.where(~many("key_a")).select("key_a", "key_b", F.lit(1).cast("bigint").alias("size"), "n", place.alias("one"))
 
-    rids = scratch_table(grouped.select(_rid_column().alias("rid")), "rids")
-    rid_bits = filter_bits(rids.count())
-    chosen = (position_bitmap(rids, rid_bits), rid_bits)
-    banded = bucket_rows(texts, (repeated, bits), chosen, bands, rows).where(F.col("n") * (100 - percent) >= percent)
+    # The buckets of one paragraph of every class (and of a few more).
+    rids = scratch_table(grouped.select("one.*").select(_rid().alias("rid")), "rids")
+    banded = listed.where((~many("key_a") | maybe_in(rids)(_rid())) & (F.col("n") * (100 - percent) >= percent))
     members = banded.select("key_a", "key_b", "n", F.explode("bands").alias("bucket"))
     # Only buckets with several members are joined; of the others not even the class is shuffled.
     full = scratch_table(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket"), "full")
@@ -292,6 +266,7 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                          .select("vid", "n", "bucket"), "held")
     sizes = scratch_table(held.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
     shared = scratch_table(held.join(sizes, "bucket"), "members")
+    discard(rids, full, some, held, sizes, grouped)
     own_bands = scratch_table(shared.groupBy("vid").agg(F.sort_array(F.collect_list("bucket")).alias("bands")), "bands")
 
     def sets_of(vids: DataFrame) -> DataFrame:
@@ -312,8 +287,9 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .where(F.col("label").isNotNull() | (F.col("size") > 1))
         .select("key_a", "key_b", F.coalesce("label", "vid").alias("label")), "named")
     found = scratch_table(
-        listed.drop("n").where(maybe_in(named.select("key_a"))("key_a")).join(named, ["key_a", "key_b"])
+        listed.drop("n", "bands").where(maybe_in(named.select("key_a"))("key_a")).join(named, ["key_a", "key_b"])
         .drop("key_a", "key_b"), "found")
+    discard(listed, shared, own_bands, classes, named)
     lines = found.where("not passage")
     line_first = scratch_table(lines.groupBy("label").agg(F.min(place).alias("first")), "line-first")
     gone = scratch_table(
