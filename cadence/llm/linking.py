@@ -72,7 +72,12 @@ def shared_components(shared: DataFrame, bands: DataFrame, sets_of: Callable[[Da
     star = scratch_table(
         shared.where(_bounded(F.col("n"), F.col("hub_n"), percent))
         .groupBy(F.col("hub").alias("a"), F.col("vid").alias("b")).agg(F.lit(1).alias("x")), "star")
-    sets = scratch_table(sets_of(weights.select("vid")), "sets")
+    # Only sets that a pair of either step can need are fetched.
+    several = shared.where("size > 2")
+    needed = (
+        star.select(F.col("a").alias("vid")).unionByName(star.select(F.col("b").alias("vid")))
+        .unionByName(several.select("vid")).unionByName(several.select(F.col("hub").alias("vid"))).distinct())
+    sets = scratch_table(sets_of(needed), "sets")
     tested = scratch_table(compare(star, sets, percent), "tested")
     links = tested.where("linked").select("a", "b")
     first = components(links)
