@@ -114,6 +114,19 @@ def test_far_blocks_are_skipped(spark, monkeypatch):
     assert sum(met) < units / 3
 
 
+def test_a_cell_gets_each_block_once(spark, monkeypatch):
+    """If every block meets every block, blocks are copied once a cell, not once a unit."""
+    monkeypatch.setattr(topk, "RUN_BITS", 3)
+    v = {i: (1.0 + i, 2.0) for i in range(16 * 24 * 16)}
+    rows = _frame(spark, "key", v, 2).selectExpr("key", "key AS self", "array(v0, v1) AS v", "key % 5 AS grp", "double(key) AS at")
+    items, queries = topk.pack(rows, 24), topk.pack(rows, 16)
+    units = queries.blocks.selectExpr("block AS qb").crossJoin(items.blocks.selectExpr("block AS ib"))
+    cells = topk._cells(units, queries, items, None, None, 2)
+    met = cells.selectExpr("q_run", "i_run", "block", "meets IS NULL AS item", "coalesce(size(meets), 0) AS n").collect()
+    assert sum(r["n"] for r in met) == units.count()
+    assert len({(r["q_run"], r["i_run"], r["block"], r["item"]) for r in met}) == len(met) < units.count() / 3
+
+
 def test_no_items_no_queries(spark):
     it = _frame(spark, "track_idx", {1: (1.0, 2.0), 2: (None, 1.0)}, 2)
     q = it.withColumnRenamed("track_idx", "query_id")
