@@ -8,9 +8,9 @@ the end then takes partial segmentations in the order of (score so far + best
 prefix score): the prefix scores are exact, so complete segmentations come out
 from the best to the N-th best.
 
-A piece's score is its log probability, estimated from how often the library's own
-encoder uses it in at most about ``FIT_ROWS`` documents, drawn by hash (the scores in
-the model file of a merge vocabulary are ranks, which do not add up).
+A piece's score is its log probability, by how often the library's own encoder uses
+it in all documents (the scores in the model file of a merge vocabulary are ranks,
+which do not add up).
 
 No piece holds a space mark after another character, nor (checked when the model is
 read) a letter next to another kind of character, so the lattice is a chain of chunks
@@ -44,7 +44,6 @@ from cadence.llm.tokens import vocabulary
 
 VOCABULARY = "piece_bpe_32k.model"
 N_BEST = 3
-FIT_ROWS = 5_000
 UNSEEN = 0.1
 CACHE_CHUNKS = 400_000
 LONGEST_CACHED = 48
@@ -228,17 +227,13 @@ def _library(path: str):
     return sentencepiece.SentencePieceProcessor(model_file=path)
 
 
-def fit_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab: str = VOCABULARY,
-               rows: int = FIT_ROWS) -> np.ndarray:
+def fit_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab: str = VOCABULARY) -> np.ndarray:
     """Log probabilities of the pieces: their counts in the library's encodings of
-    one row in so many (by a hash of id and text) that about ``rows`` are taken, with
-    ``UNSEEN`` added to each. Tasks count, Spark adds the counts up, and the driver
-    reads one number a piece."""
+    every row, with ``UNSEEN`` added to each. Tasks count, Spark adds the counts up, and
+    the driver reads one number a piece."""
     path = vocabulary(vocab)
     ship_package(docs.sparkSession)
-    texts = keyed_texts(docs, id_col, text_col)
-    every = max(1, -(-texts.count() // rows))
-    drawn = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0).select("text")
+    texts = keyed_texts(docs, id_col, text_col).select("text")
     size = _library(path).vocab_size()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,7 +246,7 @@ def fit_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["piece", "n"])
 
     counts = np.full(size, UNSEEN)
-    for r in drawn.mapInArrow(count, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect():
+    for r in texts.mapInArrow(count, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect():
         counts[r["piece"]] += r["n"]
     return np.log(counts / counts.sum())
 

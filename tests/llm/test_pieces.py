@@ -21,6 +21,17 @@ def scores(spark):
     return pieces.fit_scores(spark.read.parquet(f"{SF}/documents.parquet"))
 
 
+def test_scores_count_every_document(spark, path):
+    import sentencepiece
+    texts = [f"word {i} of {i % 7} rows" for i in range(6000)]
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    counts = np.full(library.vocab_size(), pieces.UNSEEN)
+    for ids in library.encode(texts):
+        counts += np.bincount(ids, minlength=len(counts))
+    got = pieces.fit_scores(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert np.allclose(got, np.log(counts / counts.sum()), rtol=0, atol=1e-9)
+
+
 def _every(text, model, library, scores):
     """(score, ids) of all segmentations of the normalised text."""
     full = "▁" + text.replace(" ", "▁")
