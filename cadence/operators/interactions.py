@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cadence.operators.clean import classify_interaction_columns
 from cadence.operators.index import distinct_index
+from cadence.session import stored
 
 
 def standardize_interactions(df: DataFrame) -> DataFrame:
@@ -37,13 +38,13 @@ def active_users(counts: DataFrame, min_plays: int = 5) -> DataFrame:
 def interaction_matrix(counts: DataFrame, min_plays: int = 5) -> DataFrame:
     """Long-form matrix of active users: (user_idx, item_idx, user_id,
     track_id, value FLOAT); codes follow sorted id order."""
-    active = active_users(counts, min_plays).select("user_id")
-    kept = counts.join(active, "user_id", "left_semi")
-    users = distinct_index(kept, "user_id", "user_idx")
-    items = distinct_index(kept, "track_id", "item_idx")
-    cells = kept.groupBy("user_id", "track_id").agg(F.sum("play_count").alias("v"))
-    return (cells.join(users, "user_id").join(items, "track_id")
-            .select("user_idx", "item_idx", "user_id", "track_id", F.col("v").cast("float").alias("value")))
+    counts = stored(counts)  # read for the active users and for their cells
+    users = distinct_index(active_users(counts, min_plays), "user_id", "user_idx")
+    cells = stored(counts.join(users, "user_id").groupBy("user_id", "user_idx", "track_id")
+                   .agg(F.sum("play_count").alias("v")))  # read for the items and for the matrix
+    items = distinct_index(cells, "track_id", "item_idx")
+    return cells.join(items, "track_id").select(
+        "user_idx", "item_idx", "user_id", "track_id", F.col("v").cast("float").alias("value"))
 
 
 def interaction_density(matrix: DataFrame) -> DataFrame:
