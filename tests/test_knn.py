@@ -127,6 +127,17 @@ def test_a_cell_gets_each_block_once(spark, monkeypatch):
     assert len({(r["q_run"], r["i_run"], r["block"], r["item"]) for r in met}) == len(met) < units.count() / 3
 
 
+def test_item_blocks_are_not_sent_more_often_as_queries_grow(spark):
+    """A run of query blocks has no bound, so an item block's copies depend on the cores alone."""
+    v = {i: (1.0 + i, 2.0) for i in range(16 * 24 * 16)}
+    rows = _frame(spark, "key", v, 2).selectExpr("key", "key AS self", "array(v0, v1) AS v", "0L AS grp", "double(key) AS at")
+    items, queries = topk.pack(rows, 24), topk.pack(rows, 4)
+    units = queries.blocks.selectExpr("block AS qb").crossJoin(items.blocks.selectExpr("block AS ib"))
+    cells = topk._cells(units, queries, items, None, None, 2)
+    copies = cells.where("meets IS NULL").groupBy("block").count().agg({"count": "max"}).first()[0]
+    assert copies <= topk.CELLS_A_CORE * spark.sparkContext.defaultParallelism < 1536 / 16
+
+
 def test_no_items_no_queries(spark):
     it = _frame(spark, "track_idx", {1: (1.0, 2.0), 2: (None, 1.0)}, 2)
     q = it.withColumnRenamed("track_idx", "query_id")
