@@ -6,6 +6,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from cadence.operators import knn, topk
 
 
@@ -146,3 +148,36 @@ def test_no_items_no_queries(spark):
     zeros = _frame(spark, "track_idx", {i: (0.0, 0.0) for i in range(9)}, 2)
     assert _got(knn.cosine_topk(zeros.withColumnRenamed("track_idx", "query_id"), zeros, 3, 2, self_key="query_id")) == \
         _brute({i: (0.0, 0.0) for i in range(9)}, {i: (0.0, 0.0) for i in range(9)}, 3, 0.0, {i: i for i in range(9)})
+
+
+def test_neither_side_is_sent_to_all_cells(spark):
+    """Where all items would fit into one run, queries and items are still cut into about as many runs."""
+    v = {i: (1.0 + i, 2.0) for i in range(16 * 24 * 16)}
+    rows = _frame(spark, "key", v, 2).selectExpr("key", "key AS self", "array(v0, v1) AS v", "0L AS grp", "double(key) AS at")
+    items, queries = topk.pack(rows, 24), topk.pack(rows, 16)
+    units = queries.blocks.selectExpr("block AS qb").crossJoin(items.blocks.selectExpr("block AS ib"))
+    sent = topk._cells(units, queries, items, None, None, 2).groupBy("block", F.col("meets").isNull().alias("item")).count().collect()
+    cells = topk.CELLS_A_CORE * spark.sparkContext.defaultParallelism
+    runs = math.isqrt(cells)
+    assert {r["count"] for r in sent if r["item"]} == {-(-cells // runs)}
+    assert {r["count"] for r in sent if not r["item"]} == {runs}
+
+
+def test_blocks_hold_every_vector_once(spark):
+    """Blocks are of one group, of bounded size, neighbours by ``at``, and counted in order."""
+    rows = _frame(spark, "key", {i: (float(i), 2.0) for i in range(5000)}, 2).selectExpr(
+        "key", "key AS self", "array(v0, v1) AS v", "key % 3 - 1 AS grp", "double(key % 100) AS at")
+    packed = topk.pack(rows, 64)
+    blocks = packed.blocks.orderBy("place").collect()
+    assert [b["place"] for b in blocks] == list(range(len(blocks))) and packed.n_blocks == len(blocks)
+    assert sorted(k for b in blocks for k in b["keys"]) == list(range(5000)) and packed.n_rows == 5000
+    last = (-2, 0.0)
+    for b in blocks:
+        assert 0 < len(b["keys"]) <= 64 and b["keys"] == sorted(b["keys"]) == b["selfs"]
+        assert {k % 3 - 1 for k in b["keys"]} == {b["grp"]}
+        assert (min(k % 100 for k in b["keys"]), max(k % 100 for k in b["keys"])) == (b["lo"], b["hi"])
+        assert b["vecs"] == [x for k in b["keys"] for x in (float(k), 2.0)]
+        assert (b["grp"], b["lo"]) >= last
+        last = b["grp"], b["hi"]
+    assert {(r["num"], r["block"], r["key"]) for r in packed.rows.collect()} == {
+        (b["block"] * 64 + i, b["block"], k) for b in blocks for i, k in enumerate(b["keys"])}
