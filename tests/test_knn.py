@@ -181,3 +181,26 @@ def test_blocks_hold_every_vector_once(spark):
         last = b["grp"], b["hi"]
     assert {(r["num"], r["block"], r["key"]) for r in packed.rows.collect()} == {
         (b["block"] * 64 + i, b["block"], k) for b in blocks for i, k in enumerate(b["keys"])}
+
+
+def test_excluded_pairs_are_one_number_each(spark):
+    """Repeated pairs are sent as one small number, which a task takes apart again."""
+    rows = [(i, i % 7, [1.0, float(i)], 0, float(i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "key long, self long, v array<double>, grp long, at double")
+    queries, items = topk.pack(df, 16), topk.pack(df, 8)
+    pairs = [(q, i) for q in range(0, 40, 3) for i in range(0, 40, 5)]
+    gone = topk._excluded(spark.createDataFrame(pairs * 3 + [(None, 1), (1, None), (99, 0)], "q long, i long"), queries, items, "q", "i")
+    assert gone.schema["gone"].dataType.simpleString() == "array<int>"
+    q_num = {r["num"]: r["key"] for r in queries.rows.collect()}
+    i_num = {r["num"]: r["key"] for r in items.rows.collect()}
+    got = sorted((q_num[r["qb"] * 16 + code // 8], i_num[r["ib"] * 8 + code % 8]) for r in gone.collect() for code in r["gone"])
+    assert got == pairs
+
+
+def test_history_is_read_once(spark, sf, monkeypatch):
+    """The plays are joined to the catalogue once, though profiles and exclusions both need them."""
+    from cadence.plans import feature_queries
+    reads, read = [], feature_queries.fx.interactions_raw
+    monkeypatch.setattr(feature_queries.fx, "interactions_raw", lambda *a: reads.append(a) or read(*a))
+    plan = feature_queries.q_history_knn(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(reads) == 1 and "lineitem" not in plan
