@@ -204,3 +204,62 @@ def test_history_is_read_once(spark, sf, monkeypatch):
     monkeypatch.setattr(feature_queries.fx, "interactions_raw", lambda *a: reads.append(a) or read(*a))
     plan = feature_queries.q_history_knn(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert len(reads) == 1 and "lineitem" not in plan
+
+
+def test_tasks_multiply_with_one_thread(spark):
+    """Each core has a task, so more threads in one of them wait for the others'."""
+    df = spark.createDataFrame([(i, None, [1.0, float(i)], 0, float(i)) for i in range(40)],
+                               "key long, self long, v array<double>, grp long, at double")
+    topk.pack(df, 16)
+
+    def threads(batches):
+        import os
+
+        import pyarrow as pa
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([os.environ.get("OPENBLAS_NUM_THREADS", "all")])], names=["n"])
+
+    assert {r["n"] for r in df.mapInArrow(threads, "n string").collect()} == {"1"}
+
+
+def test_nearly_parallel_vectors_are_not_all_verified(spark):
+    """Cosines that differ by less than the margins are told apart by slices, before
+    pairs are verified one by one; of equal ones the first stay."""
+    import sys
+
+    import numpy as np
+    import pyarrow as pa
+    dim, n, k = 16, 1500, 5
+    rnd = np.random.default_rng(3)
+    v = 1.0 + 1e-7 * rnd.normal(size=(n, dim))
+    v[1:n:3] = 1.0  # equal vectors
+    none, nothing = pa.array([None], pa.list_(pa.int64())), pa.array([None], pa.list_(pa.float64()))
+    meets = pa.list_(pa.struct([("ib", pa.int64()), ("gone", pa.list_(pa.int32()))]))
+
+    def block(number, rows, units):
+        keys = pa.array([list(range(number * 500, number * 500 + 500))], pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([0]), pa.array([0]), pa.array([number]), none if units else keys, keys if units else none, pa.array([rows.ravel()]),
+             pa.array([units], meets), none, nothing],
+            names=["q_run", "i_run", "block", "i_keys", "q_selfs", "vecs", "meets", "tau_nums", "taus"])
+
+    blocks = [block(b, v[b * 500:b * 500 + 500], None) for b in range(3)]
+    blocks.append(block(0, v[:500], [{"ib": b, "gone": None} for b in range(3)]))
+    verified = []
+    sys.setprofile(lambda frame, event, _: event == "call" and frame.f_code.co_name == "exact" and verified.append(len(frame.f_locals["a"])))
+    try:
+        found, = topk._scorer(k, dim, True, 0.0, pa.int64(), False, (500, 500))(iter(blocks))
+    finally:
+        sys.setprofile(None)
+    def total(a, b):  # left to right
+        out = a[:, :1] * b[:, 0]
+        for j in range(1, dim):
+            out = out + a[:, j:j + 1] * b[:, j]
+        return out
+
+    norm = np.sqrt((total(v, v)).diagonal())
+    cosine = total(v[:500], v) / (norm[:500, None] * norm[None, :])
+    cosine[np.arange(500), np.arange(500)] = -1
+    want = np.argsort(-cosine, axis=1, kind="stable")[:, :k]
+    assert (np.array(found["items"][0].values).reshape(500, k) == want).all()
+    assert sum(verified) < 4 * 500 * 3 * k  # 3 blocks
