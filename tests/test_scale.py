@@ -120,3 +120,22 @@ def test_requests_are_checked_once(spark, sf):
     out = serve.recommend_batch(asked.select("request_id", F.lit("content").alias("mode"), "seed_track_id", "user_id", F.lit(3).alias("n")), tr, v)
     assert "seed_track_id" in out.columns
     assert _plan(out.select("request_id", "mode", "error")).count("Join") <= 1
+
+
+def test_search_with_few_angles_at_once_equals_all_pairs(spark, monkeypatch):
+    from cadence.operators import knn
+    assert knn.ITEM_BLOCK <= 1024  # blocks of the search, which lie closer together than those of products
+    rnd = random.Random(11)
+    v = {i: [rnd.random() for _ in range(3)] for i in range(150)} | {150: [0.0] * 3}
+    df = spark.createDataFrame([(i, *x) for i, x in v.items()], "track_idx long, v0 double, v1 double, v2 double")
+    monkeypatch.setattr(knn, "ITEM_BLOCK", 16)
+    monkeypatch.setattr(knn, "_ANGLES", 30)  # three vectors at a time
+    got = {}
+    for r in knn.cosine_topk(df.withColumnRenamed("track_idx", "q"), df, 4, 3, query_key="q", self_key="q").orderBy("q", "rank").collect():
+        got.setdefault(r.q, []).append(r.track_idx)
+
+    def cosine(a, b):
+        size = sum(x * x for x in a) ** 0.5 * sum(x * x for x in b) ** 0.5
+        return sum(x * y for x, y in zip(a, b)) / size if size else 0.0
+
+    assert got == {q: sorted((i for i in v if i != q), key=lambda i: (-cosine(v[q], v[i]), i))[:4] for q in v}
