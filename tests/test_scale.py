@@ -139,3 +139,12 @@ def test_search_with_few_angles_at_once_equals_all_pairs(spark, monkeypatch):
         return sum(x * y for x, y in zip(a, b)) / size if size else 0.0
 
     assert got == {q: sorted((i for i in v if i != q), key=lambda i: (-cosine(v[q], v[i]), i))[:4] for q in v}
+
+
+def test_successor_lists_are_kept_in_columns(spark):
+    from cadence.operators.successors import successor_lists
+    model = spark.createDataFrame([(c, i, 1.0 / (i + 2)) for c in range(3) for i in range(100)], "ctx_item long, next_item long, prob double")
+    _, lists, _ = successor_lists(model)
+    assert "parquet" in _plan(lists)
+    got = sorted((r.ctx_item, r.chunk, len(r.codes)) for r in lists.collect())
+    assert got == [(c, k, n) for c in range(3) for k, n in ((0, 64), (1, 36))]
